@@ -45,11 +45,12 @@ def _score_counts(scores: DataFrame) -> DataFrame:
     return scores.groupBy("score").agg(*_class_counts())
 
 
-def _range_of(score: Column, counts: DataFrame, buckets: int) -> Column:
-    """Index of the score range: how many of the approximate quantiles lie below the score."""
+def _with_range(rows: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """Add ``bucket``, the score range: how many of the approximate quantiles lie below the score."""
     steps = [i / buckets for i in range(1, buckets)]
     bounds = counts.agg(F.percentile_approx("score", steps, 10 * buckets).alias("bounds")).scalar()
-    return F.size(F.filter(F.array_distinct(bounds), lambda b: b < score))
+    below = F.filter("bounds", lambda b: b < F.col("score"))
+    return rows.withColumn("bounds", bounds).withColumn("bucket", F.size(below)).drop("bounds")
 
 
 def _inversions(cells: DataFrame, by: list[str]) -> DataFrame:
@@ -84,7 +85,7 @@ def _lam() -> Column:
 def roc_area(scores: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
     """One row (hams, spams, inversions, roca_pct): 100 times the area above the ROC curve."""
     counts = _score_counts(scores)
-    cells = counts.withColumn("bucket", _range_of(F.col("score"), counts, buckets))
+    cells = _with_range(counts, counts, buckets)
     return _inversions(cells, []).select("hams", "spams", "inversions", (100 * _area()).alias("roca_pct"))
 
 
@@ -107,7 +108,7 @@ def rate_curve(scores: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
     shared_dir(scores.sparkSession)
     counts = _score_counts(scores)
     # Two plans read the ranges; the checkpoint makes sure that both see the same ones.
-    cells = counts.withColumn("bucket", _range_of(F.col("score"), counts, buckets)).checkpoint()
+    cells = _with_range(counts, counts, buckets).checkpoint()
     ranges = cells.groupBy("bucket").agg(F.sum("hams").alias("range_hams"), F.sum("spams").alias("range_spams"))
     ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -157,7 +158,7 @@ def bootstrap(scores: DataFrame, resamples: int = RESAMPLES, seed: int = 1, buck
     the shuffle.  A resample without a finite logit is left out of the deviation.
     """
     counts = _score_counts(scores)
-    bucketed = scores.withColumn("bucket", _range_of(F.col("score"), counts, buckets))
+    bucketed = _with_range(scores, counts, buckets)
     drawn = (
         bucketed.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
         .withColumn("weight", resample_weight("doc_id", "replicate", seed))
@@ -169,7 +170,7 @@ def bootstrap(scores: DataFrame, resamples: int = RESAMPLES, seed: int = 1, buck
         .select(logit(_area()).alias("x"), _lam().alias("lam"))
         .agg(F.stddev_samp("x").alias("sd_x"), F.stddev_samp("lam").alias("sd_lam"))
     )
-    point = _inversions(counts.withColumn("bucket", _range_of(F.col("score"), counts, buckets)), []).select(
+    point = _inversions(_with_range(counts, counts, buckets), []).select(
         logit(_area()).alias("x"), _lam().alias("lam")
     )
     both = point.select("x", "lam", spread.select(F.struct("sd_x", "sd_lam").alias("sd")).scalar().alias("sd"))

@@ -319,7 +319,7 @@ cuts AS (SELECT greatest(sum(h) OVER () - sum(h) OVER (ORDER BY score), 0.5)::DO
                 greatest(sum(sp) OVER (ORDER BY score), 0.5)::DOUBLE / sum(sp) OVER () AS fn FROM per_score),
 a AS (SELECT {_bucket_sql("fn")} AS bucket, min(fp) AS fp_at_fn FROM cuts GROUP BY ALL),
 b AS (SELECT {_bucket_sql("fp")} AS bucket, min(fn) AS fn_at_fp FROM cuts GROUP BY ALL)
-SELECT bucket::INT AS bucket, {RATE_BOUNDS}::DOUBLE[][bucket + 1] AS bound,
+SELECT bucket::INT AS bucket, list_extract({RATE_BOUNDS}::DOUBLE[], bucket + 1) AS bound,
     round(fp_at_fn, 6) AS fp_at_fn, round(fn_at_fp, 6) AS fn_at_fp FROM a FULL JOIN b USING (bucket)"""
 
 DRAW = f"('0x' || substr(md5('{SEED}:' || k || ':' || doc_id), 1, 8))::BIGINT"
