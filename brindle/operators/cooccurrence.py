@@ -99,10 +99,12 @@ def pair_counts(lines: DataFrame, limit: int = WORD_LIMIT) -> DataFrame:
 
 
 def _count_pairs(lines: DataFrame) -> DataFrame:
+    # An outer explode of a computed array: for an inner one the optimizer adds filters on the array
+    # below the scan's first exchange, which would tokenize every line two more times.
     left = lines.select(F.sort_array("words").alias("words")).select(
-        "words", F.posexplode("words").alias("at", "w1")
+        "words", F.posexplode_outer("words").alias("at", "w1")
     )
-    pairs = left.select("w1", F.explode(F.slice("words", F.col("at") + 2, F.size("words"))).alias("w2"))
+    pairs = left.where("w1 is not null").select("w1", F.explode(F.slice("words", F.col("at") + 2, F.size("words"))).alias("w2"))
     return pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
 
 

@@ -14,6 +14,11 @@ from brindle.functions.text import as_column, snippet, tokenize
 
 BLOCK_DOCS = 65_536
 
+# Terms of a query per integer of presence bits, and the operators' codes next to term numbers.
+BITS = 62
+IS_AND = -1
+IS_OR = -2
+
 # Operators of a postfix query; largest magnitudes per coded length; plain integer size.
 AND = "AND"
 OR = "OR"
@@ -79,7 +84,7 @@ def gap_decode(gaps: DataFrame) -> DataFrame:
     )
     starts = sums.select("term", "block", F.coalesce(F.sum("total").over(by_term), F.lit(0)).alias("start"))
     blocks = gaps.join(starts, ["term", "block"])
-    entries = blocks.select("term", "block", "start", F.posexplode("gaps").alias("at", "entry"))
+    entries = blocks.select("term", "block", "start", F.posexplode_outer("gaps").alias("at", "entry"))
     running = Window.partitionBy("term", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     return _collect_blocks(
         entries.select(
@@ -152,55 +157,95 @@ def boolean_search(index: DataFrame, query: str) -> DataFrame:
 
 
 def boolean_search_batch(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, doc_id) for a table (query_id, postfix) of queries of any number.
+    """(query_id, doc_id) for a table (query_id, postfix) of queries of any number and length.
 
-    Postings join the queries' terms once; a document gathers the terms it has of a query (at most the
-    length of the query), and the postfix is evaluated on that set.  A malformed query fails the job.
+    Every distinct term of a query has a number in it.  Postings join the queries' terms once, and
+    what a document has of a query is gathered as bits, ``BITS`` terms to an integer: a plain hash
+    aggregation of fixed-width rows that combines before the shuffle.  The postfix is then evaluated
+    on the bits.  A malformed query fails the job.
     """
-    parsed = queries.select(
-        "query_id", F.filter(F.split("postfix", r"\s+"), lambda t: t != "").alias("tokens")
-    ).select("query_id", "tokens", _assert_postfix("query_id", "tokens").alias("valid"))
-    parsed = parsed.where("valid")
-    terms = parsed.select(
+    parsed = (
+        queries.select("query_id", F.filter(F.split("postfix", r"\s+"), lambda t: t != "").alias("tokens"))
+        .withColumn("depth", _checked_depth("query_id", "tokens"))
+        .where("depth > 0")
+        .withColumn("terms", F.array_distinct(F.filter("tokens", lambda t: ~t.isin(AND, OR))))
+    )
+    numbered = parsed.select("query_id", F.posexplode("terms").alias("number", "term")).select(
+        "query_id",
+        "term",
+        F.floor(F.col("number") / BITS).alias("part"),
+        F.expr(f"shiftleft(1L, number % {BITS})").alias("bit"),
+    )
+    blocks = numbered.join(index.select("term", F.col("postings.doc_id").alias("docs")), "term")
+    hits = blocks.select("query_id", "part", "bit", F.explode("docs").alias("doc_id"))
+    parts = hits.groupBy("query_id", "doc_id", "part").agg(F.bit_or("bit").alias("bits"))
+    found = parts.groupBy("query_id", "doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("part", "bits"))).alias("found")
+    )
+    # A query refers to its terms by number, so the test below compares integers only.
+    programs = parsed.select(
         "query_id",
-        "tokens",
-        F.explode(F.array_distinct(F.filter("tokens", lambda t: ~t.isin(AND, OR)))).alias("term"),
+        "depth",
+        F.transform(
+            "tokens",
+            lambda t: F.when(t == AND, IS_AND).when(t == OR, IS_OR).otherwise(F.array_position("terms", t) - 1),
+        ).alias("program"),
     )
-    blocks = terms.join(index.select("term", F.col("postings.doc_id").alias("docs")), "term")
-    hits = blocks.select("query_id", "tokens", "term", F.explode("docs").alias("doc_id"))
-    found = hits.groupBy("query_id", "doc_id", "tokens").agg(F.collect_set("term").alias("found"))
-    return found.where(_postfix_holds("tokens", "found")).select("query_id", "doc_id")
+    return found.join(programs, "query_id").where(_postfix_holds("program", "depth", "found")).select("query_id", "doc_id")
 
 
-def _assert_postfix(query_id: str, tokens: str) -> Column:
-    """True if every operator finds two operands and one result is left, else the job fails."""
+def _checked_depth(query_id: str, tokens: str) -> Column:
+    """The greatest number of results waiting at once in a postfix.
+
+    The job fails if an operator finds fewer than two, or if not exactly one is left at the end.
+    """
     state = F.aggregate(
         tokens,
-        F.struct(F.lit(0).alias("depth"), F.lit(True).alias("ok")),
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"), F.lit(True).alias("ok")),
         lambda s, t: F.struct(
-            (s["depth"] + F.when(t.isin(AND, OR), -1).otherwise(1)).alias("depth"),
-            (s["ok"] & ((s["depth"] >= 2) | ~t.isin(AND, OR))).alias("ok"),
+            (s["now"] + F.when(t.isin(AND, OR), -1).otherwise(1)).alias("now"),
+            F.greatest(s["most"], s["now"] + 1).alias("most"),
+            (s["ok"] & ((s["now"] >= 2) | ~t.isin(AND, OR))).alias("ok"),
         ),
     )
-    good = state.getField("ok") & (state.getField("depth") == 1)
-    return F.when(good, True).otherwise(
-        F.raise_error(F.concat(F.lit("malformed postfix query "), F.col(query_id).cast("string"))).cast("boolean")
+    message = F.concat(F.lit("malformed postfix query "), F.col(query_id).cast("string"))
+    return F.when(state.getField("ok") & (state.getField("now") == 1), state.getField("most")).otherwise(
+        F.raise_error(message).cast("int")
     )
 
 
-def _postfix_holds(tokens: str, found: str) -> Column:
-    """Evaluate a postfix with a stack of booleans held in an array."""
+def _postfix_holds(program: str, depth: str, found: str) -> Column:
+    """Evaluate a postfix of term numbers and operators.
 
-    def step(stack: Column, token: Column) -> Column:
+    The stack of truth values is an integer with the top in its lowest bit, which is cheap, or an
+    array of booleans for the rare query that is too deep for that.
+    """
+    one = F.lit(1).cast("bigint")
+
+    def has(number: Column) -> Column:
+        bits = F.coalesce(F.try_element_at(F.col(found), F.floor(number / BITS)), F.lit(0).cast("bigint"))
+        return F.getbit(bits, (number % BITS).cast("int"))
+
+    def bit_step(stack: Column, code: Column) -> Column:
+        rest, below = F.shiftright(stack, 2) * 2, F.shiftright(stack, 1)
+        return (
+            F.when(code == IS_AND, rest + stack.bitwiseAND(below).bitwiseAND(one))
+            .when(code == IS_OR, rest + stack.bitwiseOR(below).bitwiseAND(one))
+            .otherwise(stack * 2 + has(code))
+        )
+
+    def array_step(stack: Column, code: Column) -> Column:
         rest = F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 2, F.lit(0)))
         top, below = F.try_element_at(stack, F.lit(-1)), F.try_element_at(stack, F.lit(-2))
         return (
-            F.when(token == AND, F.concat(rest, F.array(top & below)))
-            .when(token == OR, F.concat(rest, F.array(top | below)))
-            .otherwise(F.concat(stack, F.array(F.array_contains(found, token))))
+            F.when(code == IS_AND, F.concat(rest, F.array(top & below)))
+            .when(code == IS_OR, F.concat(rest, F.array(top | below)))
+            .otherwise(F.concat(stack, F.array(has(code) == 1)))
         )
 
-    return F.element_at(F.aggregate(tokens, F.array().cast("array<boolean>"), step), 1)
+    return F.when(F.col(depth) <= BITS, F.aggregate(program, F.lit(0).cast("bigint"), bit_step) == 1).otherwise(
+        F.element_at(F.aggregate(program, F.array().cast("array<boolean>"), array_step), 1)
+    )
 
 
 def with_snippets(hits: DataFrame, documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions.numeric import fixed_point
-from brindle.session import shared_dir
+from brindle.session import shared_dir, work_path
 
 # The jump probability.
 ALPHA = 0.15
 
 SHARD_EDGES = 1_000_000
-CHECKPOINT_EVERY = 5
+CHECKPOINT_EVERY = 1
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,7 @@ def edges_from_adjacency(adjacency: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .select("id")
     )
-    edges = adjacency.select(F.col("id").alias("src"), F.explode("neighbours").alias("dst"))
+    edges = adjacency.select(F.col("id").alias("src"), F.explode_outer("neighbours").alias("dst")).where("dst is not null")
     return nodes, edges
 
 
@@ -87,19 +87,30 @@ def build_graph(
 
 
 def materialize(graph: Graph) -> Graph:
-    """Write nodes and edges to the shared folder once, laid out for the joins of the iterations.
+    """Write nodes and edges once, as bucketed tables in the shared folder.
 
-    The edges are hashed by (src, shard) into as many partitions as a shuffle has, so later steps
-    move only ranks and partial sums.
+    The edges are bucketed by (src, shard) and the nodes by id, with as many buckets as a shuffle has
+    partitions.  Joins on these keys read the buckets in place, so a step moves ranks and partial sums
+    but never the edges.
     """
-    spark = graph.nodes.sparkSession
-    shared_dir(spark)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return Graph(
-        graph.nodes.repartition(partitions, "id").checkpoint(),
-        graph.edges.repartition(partitions, "src", "shard").checkpoint(),
-        graph.sources,
+        _bucketed(graph.nodes, "nodes", "id"), _bucketed(graph.edges, "edges", "src", "shard"), graph.sources
+    )
+
+
+def _bucketed(table: DataFrame, name: str, *keys: str) -> DataFrame:
+    spark = table.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = work_path(spark, name)
+    stored = path.rsplit("/", 1)[-1].replace("-", "_")
+    (
+        table.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(stored)
     )
+    return spark.table(stored)
 
 
 def initial_ranks(graph: Graph) -> DataFrame:
@@ -131,12 +142,14 @@ def step(graph: Graph, ranks: DataFrame, alpha: float = ALPHA) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
         (F.col("rank") / F.col("degree")).alias("share"),
     )
+    # Hash joins that build on ranks and sums (one row per node or shard, evenly hashed) spare the sort
+    # of the edges in every step.
     received = (
-        graph.edges.join(senders, ["src", "shard"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("mass"))
+        graph.edges.join(senders.hint("shuffle_hash"), ["src", "shard"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("mass"))
     )
     dangling = ranks.where(F.col("degree") == 0).agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("mass")).scalar()
     jump = F.when(F.col("is_source"), F.lit(alpha / m) + (1 - alpha) * dangling / m).otherwise(0.0)
-    return graph.nodes.join(received, "id", "left").select(
+    return graph.nodes.join(received.hint("shuffle_hash"), "id", "left").select(
         "id",
         "degree",
         "shards",
@@ -154,7 +167,8 @@ def iterate(
 ) -> DataFrame:
     """Run a fixed number of steps, from the initial ranks or from given ones (a stored iteration).
 
-    The plan is cut by a reliable checkpoint every few steps; the last stretch stays lazy.
+    A step reads the ranks before it more than once, so by default each step is written by a reliable
+    checkpoint (one row per node); the last stretch stays lazy.
     """
     shared_dir(graph.nodes.sparkSession)
     ranks = initial_ranks(graph) if ranks is None else ranks

@@ -130,8 +130,12 @@ def pricing_from_pipe_text(t: Tables) -> DataFrame:
 # Co-occurrence ---------------------------------------------------------------------------------
 
 
+def _documents(t: Tables) -> DataFrame:
+    return readers.spread(t.documents.select("doc_id", "text"), "doc_id")
+
+
 def _lines(t: Tables) -> DataFrame:
-    return cooccurrence.tokenized(readers.document_lines(t.documents))
+    return cooccurrence.tokenized(readers.document_lines(_documents(t)))
 
 
 def _scaled(value) -> F.Column:
@@ -191,7 +195,7 @@ def pmi_stripes(t: Tables) -> DataFrame:
 
 
 def _index(t: Tables) -> DataFrame:
-    return index.build_postings(index.term_frequencies(t.documents))
+    return index.build_postings(index.term_frequencies(_documents(t)))
 
 
 def _list_text(entries: str, first: str, second: str) -> F.Column:
@@ -367,14 +371,14 @@ def _instances(t: Tables) -> DataFrame:
         tokenize("text"), lambda w: F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int")
     )
     label = F.when(F.col("quality") == 0, classify.SPAM).otherwise(classify.HAM)
-    return t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "quality"), "doc_id").select(
+    return _documents(t).join(t.labels.select("doc_id", "quality"), "doc_id").select(
         F.col("doc_id").cast("string").alias("doc_id"), label.alias("label"), features.alias("features")
     )
 
 
 def _model(t: Tables) -> DataFrame:
     """Three models over all features of the documents, with weights that add up exactly in binary."""
-    features = _instances(t).select(F.explode("features").alias("feature")).distinct()
+    features = _instances(t).select(F.explode_outer("features").alias("feature")).where("feature is not null").distinct()
     weights = F.array(
         *[
             F.struct(F.lit(m).alias("model_id"), ((F.col("feature") * (i + 1) % 17 - 8) / 64.0).alias("weight"))

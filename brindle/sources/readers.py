@@ -29,6 +29,16 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hand rows to all cores by ``keys`` if the scan has fewer splits than the session has cores.
+
+    Meant for small files in front of work that costs much per row.  A table of many files or row
+    groups already has the splits and passes through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def pipe_table(spark: SparkSession, path: str, name: str, schema: str | None = None) -> DataFrame:
     """A '|'-delimited table with its declared schema (or another one given as DDL).
 
