@@ -42,7 +42,9 @@ def _class_counts(weight: Column | None = None) -> list[Column]:
 
 
 def _score_counts(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("score").agg(*_class_counts())
+    """Class counts per distinct score, written once: the ranges and the sums both read them."""
+    shared_dir(scores.sparkSession)
+    return scores.groupBy("score").agg(*_class_counts()).checkpoint()
 
 
 def _with_range(rows: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
@@ -105,9 +107,8 @@ def rate_curve(scores: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
     Each distinct score is a cut: spam at or below it is missed, ham above it is rejected.  A count of
     0 is taken as one half.  Buckets without a cut have no row.
     """
-    shared_dir(scores.sparkSession)
     counts = _score_counts(scores)
-    # Two plans read the ranges; the checkpoint makes sure that both see the same ones.
+    # Quantiles are approximate and two plans read the ranges; the checkpoint gives both the same ones.
     cells = _with_range(counts, counts, buckets).checkpoint()
     ranges = cells.groupBy("bucket").agg(F.sum("hams").alias("range_hams"), F.sum("spams").alias("range_spams"))
     ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -143,11 +144,20 @@ def rate_curve(scores: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
     )
 
 
-def resample_weight(doc_id: str, replicate: str, seed: int) -> Column:
-    """Poisson(1) weight of an instance in a resample, a pure function of id, resample and seed."""
+def _draw(doc_id: str, replicate: str, seed: int) -> Column:
+    """A number below 2**32 that depends on id, resample and seed alone."""
     text = F.concat_ws(":", F.lit(str(seed)), F.col(replicate).cast("string"), F.col(doc_id).cast("string"))
-    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return sum((F.when(draw >= step, 1).otherwise(0) for step in POISSON_STEPS[1:]), F.when(draw >= POISSON_STEPS[0], 1).otherwise(0))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def with_resample_weight(rows: DataFrame, seed: int, doc_id: str = "doc_id", replicate: str = "replicate") -> DataFrame:
+    """Add ``weight``, the Poisson(1) weight of an instance in a resample; rows of weight 0 are left out.
+
+    The filter tests the draw itself, so that it costs one hash per row.
+    """
+    steps = [F.when(F.col("draw") >= step, 1).otherwise(0) for step in POISSON_STEPS[1:]]
+    drawn = rows.withColumn("draw", _draw(doc_id, replicate, seed)).where(F.col("draw") >= POISSON_STEPS[0])
+    return drawn.withColumn("weight", sum(steps, F.lit(1))).drop("draw")
 
 
 def bootstrap(scores: DataFrame, resamples: int = RESAMPLES, seed: int = 1, buckets: int = SCORE_BUCKETS) -> DataFrame:
@@ -157,13 +167,12 @@ def bootstrap(scores: DataFrame, resamples: int = RESAMPLES, seed: int = 1, buck
     replacement when rows are spread over many tasks.  Weights are summed per resample and score before
     the shuffle.  A resample without a finite logit is left out of the deviation.
     """
+    shared_dir(scores.sparkSession)
+    scores = scores.select("doc_id", "label", "score", "predicted").checkpoint()
     counts = _score_counts(scores)
     bucketed = _with_range(scores, counts, buckets)
-    drawn = (
-        bucketed.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
-        .withColumn("weight", resample_weight("doc_id", "replicate", seed))
-        .where(F.col("weight") > 0)
-    )
+    replicated = bucketed.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
+    drawn = with_resample_weight(replicated, seed)
     cells = drawn.groupBy("replicate", "bucket", "score").agg(*_class_counts(F.col("weight")))
     spread = (
         _inversions(cells, ["replicate"])
