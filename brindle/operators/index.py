@@ -159,10 +159,14 @@ def boolean_search(index: DataFrame, query: str) -> DataFrame:
 def boolean_search_batch(index: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, doc_id) for a table (query_id, postfix) of queries of any number and length.
 
-    Every distinct term of a query has a number in it.  Postings join the queries' terms once, and
-    what a document has of a query is gathered as bits, ``BITS`` terms to an integer: a plain hash
-    aggregation of fixed-width rows that combines before the shuffle.  The postfix is then evaluated
-    on the bits.  A malformed query fails the job.
+    Every query gets a cover: terms of which each answer has at least one.  An AND takes the cover of
+    the side with fewer postings, an OR needs those of both.  Only documents of the cover become
+    candidates, so a frequent word that is AND-ed with a rare one is never paired with its documents
+    per query.  Candidates then look up which of the query's terms they have, by term and document, and
+    the postfix is evaluated on the result.
+
+    What a document has of a query is gathered as bits, ``BITS`` terms to an integer: a plain hash
+    aggregation that combines before the shuffle.  A malformed query fails the job.
     """
     parsed = (
         queries.select("query_id", F.filter(F.split("postfix", r"\s+"), lambda t: t != "").alias("tokens"))
@@ -170,28 +174,69 @@ def boolean_search_batch(index: DataFrame, queries: DataFrame) -> DataFrame:
         .where("depth > 0")
         .withColumn("terms", F.array_distinct(F.filter("tokens", lambda t: ~t.isin(AND, OR))))
     )
-    numbered = parsed.select("query_id", F.posexplode("terms").alias("number", "term")).select(
+    numbered = parsed.select("query_id", F.posexplode("terms").alias("number", "term"))
+    # A query refers to its terms by number, so what follows compares integers only.
+    programs = parsed.select(
+        "query_id",
+        "depth",
+        F.transform(
+            "tokens",
+            lambda t: F.when(t == AND, IS_AND).when(t == OR, IS_OR).otherwise(F.array_position("terms", t) - 1),
+        ).cast("array<int>").alias("program"),
+    )
+
+    sizes = (
+        numbered.join(document_frequency(index), "term", "left")
+        .groupBy("query_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("number", F.coalesce("df", F.lit(0)).alias("df")))).alias("sizes"))
+    )
+    covers = programs.join(sizes, "query_id").select("query_id", F.explode(_cover("program", "sizes")).alias("number"))
+    lists = index.select("term", F.col("postings.doc_id").alias("docs"))
+    candidates = (
+        covers.join(numbered, ["query_id", "number"])
+        .join(lists, "term")
+        .select("query_id", F.explode("docs").alias("doc_id"))
+        .distinct()
+    )
+
+    asked = candidates.join(numbered, "query_id").select(
         "query_id",
+        "doc_id",
         "term",
         F.floor(F.col("number") / BITS).alias("part"),
         F.expr(f"shiftleft(1L, number % {BITS})").alias("bit"),
     )
-    blocks = numbered.join(index.select("term", F.col("postings.doc_id").alias("docs")), "term")
-    hits = blocks.select("query_id", "part", "bit", F.explode("docs").alias("doc_id"))
-    parts = hits.groupBy("query_id", "doc_id", "part").agg(F.bit_or("bit").alias("bits"))
+    present = lists.join(numbered.select("term").distinct(), "term", "left_semi").select(
+        "term", F.explode("docs").alias("doc_id")
+    )
+    parts = asked.join(present, ["term", "doc_id"]).groupBy("query_id", "doc_id", "part").agg(F.bit_or("bit").alias("bits"))
     found = parts.groupBy("query_id", "doc_id").agg(
         F.map_from_entries(F.collect_list(F.struct("part", "bits"))).alias("found")
     )
-    # A query refers to its terms by number, so the test below compares integers only.
-    programs = parsed.select(
-        "query_id",
-        "depth",
-        F.transform(
-            "tokens",
-            lambda t: F.when(t == AND, IS_AND).when(t == OR, IS_OR).otherwise(F.array_position("terms", t) - 1),
-        ).alias("program"),
+    return (
+        found.join(programs, "query_id").where(_postfix_holds("program", "depth", "found")).select("query_id", "doc_id")
     )
-    return found.join(programs, "query_id").where(_postfix_holds("program", "depth", "found")).select("query_id", "doc_id")
+
+
+def _cover(program: str, sizes: str) -> Column:
+    """Numbers of terms of which every answer has at least one, with few postings in total."""
+
+    def step(stack: Column, code: Column) -> Column:
+        rest = F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 2, F.lit(0)))
+        top, below = F.try_element_at(stack, F.lit(-1)), F.try_element_at(stack, F.lit(-2))
+        cheaper = F.when(top["cost"] < below["cost"], top).otherwise(below)
+        both = F.struct(
+            (top["cost"] + below["cost"]).alias("cost"), F.concat(top["numbers"], below["numbers"]).alias("numbers")
+        )
+        term = F.struct(F.element_at(F.col(sizes), code).alias("cost"), F.array(code).alias("numbers"))
+        return (
+            F.when(code == IS_AND, F.concat(rest, F.array(cheaper)))
+            .when(code == IS_OR, F.concat(rest, F.array(both)))
+            .otherwise(F.concat(stack, F.array(term)))
+        )
+
+    nothing = F.array().cast("array<struct<cost:bigint,numbers:array<int>>>")
+    return F.array_distinct(F.element_at(F.aggregate(program, nothing, step), 1)["numbers"])
 
 
 def _checked_depth(query_id: str, tokens: str) -> Column:

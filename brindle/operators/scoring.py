@@ -18,6 +18,8 @@ from brindle.operators.classify import HAM, SPAM
 from brindle.session import shared_dir
 
 SCORE_BUCKETS = 256
+SKETCH_PARTS = 64
+SKETCH_ACCURACY = 1_000
 
 # Resamples of the bootstrap, the width of its interval in standard deviations.
 RESAMPLES = 100
@@ -50,7 +52,16 @@ def _score_counts(scores: DataFrame) -> DataFrame:
 def _with_range(rows: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
     """Add ``bucket``, the score range: how many of the approximate quantiles lie below the score."""
     steps = [i / buckets for i in range(1, buckets)]
-    bounds = counts.agg(F.percentile_approx("score", steps, 10 * buckets).alias("bounds")).scalar()
+    # Quantiles of quantiles: the sketches of all partitions are merged in several tasks, not in one.
+    # Any bounds give the same sums; good ones make the ranges even.
+    parts = counts.groupBy(F.pmod(F.hash("score"), F.lit(SKETCH_PARTS)).alias("part")).agg(
+        F.percentile_approx("score", steps, SKETCH_ACCURACY).alias("bounds")
+    )
+    bounds = (
+        parts.select(F.explode("bounds").alias("bound"))
+        .agg(F.percentile_approx("bound", steps, SKETCH_ACCURACY).alias("bounds"))
+        .scalar()
+    )
     below = F.filter("bounds", lambda b: b < F.col("score"))
     return rows.withColumn("bounds", bounds).withColumn("bucket", F.size(below)).drop("bounds")
 

@@ -212,12 +212,16 @@ def index_postings(t: Tables) -> DataFrame:
     return _postings_text(_index(t))
 
 
+def _stored_index(t: Tables) -> DataFrame:
+    path = work_path(t.spark, "index")
+    sinks.write_index(_index(t), path, partitions=t.spark.sparkContext.defaultParallelism)
+    return sinks.read_index(t.spark, path)
+
+
 @query
 def index_stored(t: Tables) -> DataFrame:
     """The index written to its term-partitioned, term-sorted table and read back."""
-    path = work_path(t.spark, "index")
-    sinks.write_index(_index(t), path, partitions=8)
-    return _postings_text(sinks.read_index(t.spark, path))
+    return _postings_text(_stored_index(t))
 
 
 @query
@@ -270,7 +274,7 @@ def boolean_batch(t: Tables) -> DataFrame:
         .where(F.size("words") > 2)
         .select(F.col("item_id").alias("query_id"), postfix.alias("postfix"))
     )
-    return index.boolean_search_batch(_index(t), queries)
+    return index.boolean_search_batch(_stored_index(t), queries)
 
 
 @query

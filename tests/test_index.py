@@ -141,3 +141,25 @@ def test_stored_index(spark, index, tmp_path):
     path = str(tmp_path / "index")
     sinks.write_index(index, path, 3)
     assert rows(sinks.read_index(spark, path).select(*index.columns)) == rows(index)
+
+
+@pytest.mark.parametrize(
+    "query, expected",
+    [
+        ("the red AND", {"red"}),
+        ("the red OR rose AND", {"rose"}),
+        ("red white OR the AND", {"red", "white"}),
+        ("the", {"the"}),
+        ("the nosuchterm AND", {"nosuchterm"}),
+        ("ta tb AND tc td AND OR", None),
+    ],
+)
+def test_cover_takes_the_rarer_side(spark, texts, query, expected):
+    lists = brute(texts)
+    terms = list(dict.fromkeys(t for t in query.split() if t not in ("AND", "OR")))
+    program = [{"AND": ix.IS_AND, "OR": ix.IS_OR}.get(t) or terms.index(t) for t in query.split()]
+    sizes = {i: len(lists.get(t, [])) for i, t in enumerate(terms)}
+    row = spark.createDataFrame([(program, sizes)], "program array<int>, sizes map<int, bigint>")
+    cover = {terms[i] for i in row.select(ix._cover("program", "sizes")).first()[0]}
+    assert cover == expected if expected else len(cover) == 2
+    assert all(any(term in texts[d].lower().split() for term in cover) for d in brute_query(texts, query))
