@@ -27,6 +27,7 @@ from brindle.session import shared_dir, work_path
 ALPHA = 0.15
 
 SHARD_EDGES = 1_000_000
+EDGES_PER_BUCKET = 100_000
 CHECKPOINT_EVERY = 1
 
 
@@ -76,40 +77,51 @@ def build_graph(
         F.ceil(F.coalesce("degree", F.lit(0)) / shard_edges).cast("int").alias("shards"),
         _is_source("id", sources).alias("is_source"),
     )
-    # The shard of an edge depends on its ends alone, so it is the same in every evaluation.
-    hubs = known.where(F.col("shards") > 1).select(F.col("id").alias("src"), "shards")
-    sharded = edges.join(hubs, "src", "left").select(
+    return Graph(known, _sharded(edges, known), sources)
+
+
+def _sharded(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(src, shard, dst); the shard depends on the edge's ends alone, so every evaluation gives the same."""
+    hubs = nodes.where(F.col("shards") > 1).select(F.col("id").alias("src"), "shards")
+    return edges.select("src", "dst").join(hubs, "src", "left").select(
         "src",
         F.when(F.col("shards") > 1, F.pmod(F.xxhash64("dst"), F.col("shards"))).otherwise(0).cast("int").alias("shard"),
         "dst",
     )
-    return Graph(known, sharded, sources)
 
 
-def materialize(graph: Graph) -> Graph:
-    """Write nodes and edges once, as bucketed tables in the shared folder.
+def materialize(graph: Graph, edges_per_bucket: int = EDGES_PER_BUCKET) -> Graph:
+    """Write nodes and edges once, as tables in the shared folder.
 
-    The edges are bucketed by (src, shard) and the nodes by id, with as many buckets as a shuffle has
-    partitions.  Joins on these keys read the buckets in place, so a step moves ranks and partial sums
-    but never the edges.
+    With edges enough to fill them, the tables are bucketed, nodes by id and edges by (src, shard), into
+    as many buckets as a shuffle has partitions.  Joins on these keys then read the buckets in place: a
+    step moves ranks and partial sums but never the edges.  A smaller graph is stored plainly, and
+    adaptive execution fits the number of tasks to it.
     """
+    spark = graph.nodes.sparkSession
+    shared_dir(spark)
+    nodes = graph.nodes.checkpoint()
+    edges = nodes.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if edges < buckets * edges_per_bucket:
+        buckets = 0
     return Graph(
-        _bucketed(graph.nodes, "nodes", "id"), _bucketed(graph.edges, "edges", "src", "shard"), graph.sources
+        _stored(nodes, "nodes", buckets, "id"),
+        _stored(_sharded(graph.edges, nodes), "edges", buckets, "src", "shard"),
+        graph.sources,
     )
 
 
-def _bucketed(table: DataFrame, name: str, *keys: str) -> DataFrame:
+def _stored(table: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
     spark = table.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = work_path(spark, name)
+    if not buckets:
+        table.write.parquet(path)
+        return spark.read.parquet(path)
+    # The shuffle and the buckets use the same hash, so each bucket is written by one task as one file.
     stored = path.rsplit("/", 1)[-1].replace("-", "_")
-    (
-        table.repartition(buckets, *keys)
-        .write.bucketBy(buckets, *keys)
-        .sortBy(*keys)
-        .option("path", path)
-        .saveAsTable(stored)
-    )
+    bucketed = table.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    bucketed.option("path", path).saveAsTable(stored)
     return spark.table(stored)
 
 

@@ -47,11 +47,11 @@ def close(got, expected):
 
 
 @pytest.mark.parametrize("shard_edges", [pr.SHARD_EDGES, 10])
-@pytest.mark.parametrize("stored", [False, True])
-def test_ranks(spark, shard_edges, stored):
+@pytest.mark.parametrize("edges_per_bucket", [None, 1, pr.EDGES_PER_BUCKET])
+def test_ranks(spark, shard_edges, edges_per_bucket):
     adjacency, sources = hub_graph(), [5, 9, 9, 20]
     graph = graph_of(spark, adjacency, sources, shard_edges=shard_edges)
-    graph = pr.materialize(graph) if stored else graph
+    graph = pr.materialize(graph, edges_per_bucket) if edges_per_bucket else graph
     ranks = pr.iterate(graph, 4)
     close(dict(rows(ranks, "id", "rank")), brute(adjacency, sources, 4))
     assert abs(ranks.agg(F.sum("rank")).first()[0] - 1) < 1e-12
@@ -107,7 +107,7 @@ def test_adjacency_text(spark, tmp_path):
 
 
 def test_stored_edges_are_not_shuffled(spark):
-    graph = pr.materialize(graph_of(spark, hub_graph(), [1]))
+    graph = pr.materialize(graph_of(spark, hub_graph(), [1]), edges_per_bucket=1)
     text = plan(pr.step(graph, pr.initial_ranks(graph).checkpoint()), "simple")
     scans = [line for line in text.splitlines() if "FileScan parquet" in line]
     assert len(scans) == 2 and all("Bucketed: true" in line for line in scans)
