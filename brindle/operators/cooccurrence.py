@@ -49,7 +49,9 @@ def word_line_counts_with_total(lines: DataFrame, limit: int = WORD_LIMIT) -> Da
 def bigram_counts(lines: DataFrame) -> DataFrame:
     """(w1, w2, n): neighbouring tokens inside a line."""
     pairs = lines.select(F.inline(sliding_pairs("tokens")).alias("w1", "w2"))
-    return pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    # The join with the marginals asks for this filter; stated here, every use of the counts has the
+    # same plan and shares one shuffle.
+    return pairs.where("w1 is not null").groupBy("w1", "w2").agg(F.count("*").alias("n"))
 
 
 def _bigram_marginals(counts: DataFrame) -> DataFrame:

@@ -70,7 +70,10 @@ def gap_view(index: DataFrame) -> DataFrame:
         ),
         lambda p: F.struct((p["doc_id"] - p["before"]).alias("gap"), p["tf"].alias("tf")),
     )
-    return index.join(starts, ["term", "block"]).select("term", "block", "block_df", gaps.alias("gaps"))
+    # A hash join that builds on the narrow side spares a sort of rows that hold whole lists.
+    return index.join(starts.hint("shuffle_hash"), ["term", "block"]).select(
+        "term", "block", "block_df", gaps.alias("gaps")
+    )
 
 
 def gap_decode(gaps: DataFrame) -> DataFrame:
@@ -83,7 +86,7 @@ def gap_decode(gaps: DataFrame) -> DataFrame:
         F.aggregate(F.col("gaps.gap"), F.lit(0).cast("bigint"), lambda a, g: a + g).alias("total"),
     )
     starts = sums.select("term", "block", F.coalesce(F.sum("total").over(by_term), F.lit(0)).alias("start"))
-    blocks = gaps.join(starts, ["term", "block"])
+    blocks = gaps.join(starts.hint("shuffle_hash"), ["term", "block"])
     entries = blocks.select("term", "block", "start", F.posexplode_outer("gaps").alias("at", "entry"))
     running = Window.partitionBy("term", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     return _collect_blocks(

@@ -226,18 +226,18 @@ def index_stored(t: Tables) -> DataFrame:
 
 @query
 def index_gaps(t: Tables) -> DataFrame:
-    gaps = index.gap_view(_index(t))
+    gaps = index.gap_view(_stored_index(t))
     return gaps.select("term", "block", "block_df", _list_text("gaps", "gap", "tf").alias("gaps"))
 
 
 @query
 def index_gap_decode(t: Tables) -> DataFrame:
-    return _postings_text(index.gap_decode(index.gap_view(_index(t))))
+    return _postings_text(index.gap_decode(index.gap_view(_stored_index(t))))
 
 
 @query
 def index_size_report(t: Tables) -> DataFrame:
-    return index.size_report(index.gap_view(_index(t)))
+    return index.size_report(index.gap_view(_stored_index(t)))
 
 
 @query

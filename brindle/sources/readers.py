@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from brindle.functions.text import split_fields, split_lines
 from brindle.sources.schemas import TABLES
 
+SPREAD_BELOW = 4
+
 # Field positions in a trip record (taxi type first; drop-off point by layout).
 GREEN_POINT = (8, 9)
 OTHER_POINT = (10, 11)
@@ -25,18 +27,19 @@ def document_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     )
 
 
-def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def parquet_table(spark: SparkSession, folder: str, name: str, suffix: str = ".parquet") -> DataFrame:
+    """One Parquet file or directory per table."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}{suffix}")
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hand rows to all cores by ``keys`` if the scan has fewer splits than the session has cores.
+    """Hand rows to all cores by ``keys`` if the scan would leave most cores idle.
 
-    Meant for small files in front of work that costs much per row.  A table of many files or row
-    groups already has the splits and passes through unchanged.
+    Meant for a small table of few files or row groups in front of work that costs much per row.  A
+    table with splits for more than one core in ``SPREAD_BELOW`` passes through unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * SPREAD_BELOW <= cores else df
 
 
 def pipe_table(spark: SparkSession, path: str, name: str, schema: str | None = None) -> DataFrame:
