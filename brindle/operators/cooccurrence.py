@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.text import WORD_LIMIT, line_words, sliding_pairs, tokenize
+from brindle.session import shared_dir
 
 # The default co-occurrence threshold and the name of a marginal row.
 THRESHOLD = 10
@@ -165,7 +166,11 @@ def pmi_pairs_pruned(
 def pmi_stripes(
     lines: DataFrame, threshold: int = THRESHOLD, limit: int = WORD_LIMIT, max_cells: int = STRIPE_CELLS
 ) -> DataFrame:
-    """(w1, block, stripe): map w2 -> (pmi, n); a word without a kept pair has no row."""
-    pairs = pmi_pairs(lines, threshold, limit)
+    """(w1, block, stripe): map w2 -> (pmi, n); a word without a kept pair has no row.
+
+    The kept pairs are few next to all counted ones and are read twice, so they are written once.
+    """
+    shared_dir(lines.sparkSession)
+    pairs = pmi_pairs(lines, threshold, limit).checkpoint()
     sizes = pairs.groupBy("w1").agg(F.count("*").alias("cells"))
     return to_stripes(pairs.join(sizes, "w1"), F.struct("pmi", "n"), max_cells)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brindle.functions.text import split_fields, split_lines
 from brindle.sources.schemas import TABLES
 
-SPREAD_BELOW = 4
+SPREAD_SPLITS = 64
 
 # Field positions in a trip record (taxi type first; drop-off point by layout).
 GREEN_POINT = (8, 9)
@@ -33,13 +33,15 @@ def parquet_table(spark: SparkSession, folder: str, name: str, suffix: str = ".p
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hand rows to all cores by ``keys`` if the scan would leave most cores idle.
+    """Hand the rows of a small table to all cores by ``keys``.
 
-    Meant for a small table of few files or row groups in front of work that costs much per row.  A
-    table with splits for more than one core in ``SPREAD_BELOW`` passes through unchanged.
+    Meant for few files or row groups in front of work that costs much per row.  A table with a split
+    for every core, or with more than ``SPREAD_SPLITS`` splits, passes through unchanged, so a large
+    table is never shuffled by this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * SPREAD_BELOW <= cores else df
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores, *keys) if splits < cores and splits <= SPREAD_SPLITS else df
 
 
 def pipe_table(spark: SparkSession, path: str, name: str, schema: str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Region counts, silent windows, alerts; streams against their batch forms."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -122,6 +123,20 @@ def test_stream_sliding_with_fill_equals_batch(spark, busy_events):
     assert rows(out) == rows(batch)
 
 
+def test_stream_sink_in_folders_per_window(spark, busy_events):
+    folder, out, log = (work_path(spark, n) for n in ("events", "out", "log"))
+    write_in_order(busy_events, folder, 2, START + dt.timedelta(hours=9))
+    source = readers.ordered_file_stream(spark, folder, "x double, y double, ts timestamp")
+    hourly = st.region_stream(source, BOXES, "60 minutes", delay="2 hours", fill=False)
+    with st.stream_settings(spark, 2):
+        sinks.stream_to_parquet(hourly, out, log, ["window_start"]).awaitTermination()
+    assert sorted(p for p in os.listdir(out) if p.startswith("window_start=")) == [
+        f"window_start=2024-01-01 0{hour}%3A00%3A00" for hour in range(3)
+    ]
+    batch = ar.region_counts(busy_events, BOXES, "60 minutes", fill=False)
+    assert rows(spark.read.parquet(out), "region", "window_start", "count") == rows(batch, "region", "window_start", "count")
+
+
 def test_stream_settings_are_restored(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
