@@ -378,7 +378,7 @@ def _counts_sql(length: int, slide: int) -> str:
 
 
 SQL["region_hourly"] = SQL["region_from_trip_text"] = SQL["stream_region_hourly"] = _counts_sql(1, 1)
-SQL["region_sliding"] = _counts_sql(6, 2)
+SQL["region_sliding"] = SQL["stream_region_sliding"] = _counts_sql(6, 2)
 
 SQL["arrivals_history"] = f"""WITH {_arrivals_sql(1, 1)}
 SELECT region, window_start, window_end, count, previous FROM shown"""

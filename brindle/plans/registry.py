@@ -540,7 +540,9 @@ def trending(t: Tables) -> DataFrame:
     return _text_times(arrivals.alerts(arrivals.arrivals_with_previous(_events(t), BOXES, "6 hours"), BOXES))
 
 
-def _replayed(t: Tables, length_hours: int, build: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def _replayed(
+    t: Tables, length_hours: int, slide_hours: int, build: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
     """Replay the events as ordered files, run a stream over them to the end, return what it wrote.
 
     The closing event lies one delay after the end of the last window, so that the watermark stops
@@ -550,24 +552,29 @@ def _replayed(t: Tables, length_hours: int, build: Callable[[DataFrame, str], Da
     events = _events(t).withColumn("ts", F.col("ts").cast("timestamp"))
     slices = 6
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    delay = (last - first) // slices + timedelta(seconds=1)
-    delay_text = f"{delay // timedelta(seconds=1)} seconds"
-    delay = timedelta(seconds=delay // timedelta(seconds=1))
-    seconds = length_hours * 3600
-    last_end = (int(last.timestamp()) // seconds + 1) * seconds
-    closing = type(last).fromtimestamp(last_end) + delay
+    delay = (last - first) // slices // timedelta(seconds=1) + 1
+    slide = slide_hours * 3600
+    last_end = int(last.timestamp()) // slide * slide + length_hours * 3600
+    closing = type(last).fromtimestamp(last_end + delay)
     folder, out, log = (work_path(spark, name) for name in ("replay", "stream", "stream-log"))
     write_in_order(events, folder, slices, closing)
     source = readers.ordered_file_stream(spark, folder, "x double, y double, ts timestamp")
     with streams.stream_settings(spark):
-        running = sinks.stream_to_parquet(build(source, delay_text), out, log)
+        running = sinks.stream_to_parquet(build(source, f"{delay} seconds"), out, log)
     running.awaitTermination()
     return _text_times(spark.read.parquet(out))
 
 
 @query
 def stream_region_hourly(t: Tables) -> DataFrame:
-    return _replayed(t, 1, lambda events, delay: streams.region_stream(events, BOXES, "60 minutes", delay=delay))
+    return _replayed(t, 1, 1, lambda events, delay: streams.region_stream(events, BOXES, "60 minutes", delay=delay))
+
+
+@query
+def stream_region_sliding(t: Tables) -> DataFrame:
+    return _replayed(
+        t, 6, 2, lambda events, delay: streams.region_stream(events, BOXES, "6 hours", "2 hours", delay=delay)
+    )
 
 
 @query
@@ -575,5 +582,6 @@ def stream_trending(t: Tables) -> DataFrame:
     return _replayed(
         t,
         6,
+        6,
         lambda events, delay: arrivals.alerts(streams.arrivals_stream(events, BOXES, "6 hours", delay=delay), BOXES),
     )

@@ -122,7 +122,10 @@ def trip_point(fields: str | Column) -> tuple[Column, Column]:
 
 
 def decode_trips(lines: DataFrame, line: str = "line", time_field: int | None = None) -> DataFrame:
-    """Trip records as (kind, x, y) and, if ``time_field`` names its position, the event time ``ts``."""
+    """Trip records as (kind, x, y) and, if ``time_field`` names its position, the event time ``ts``.
+
+    Works on a table and on a stream.  A point that is not a number fails the job.
+    """
     fields = lines.select(F.split(line, ",").alias("fields"))
     x, y = trip_point("fields")
     columns = [F.col("fields")[0].alias("kind"), x.alias("x"), y.alias("y")]

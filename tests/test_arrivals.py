@@ -123,6 +123,20 @@ def test_stream_sliding_with_fill_equals_batch(spark, busy_events):
     assert rows(out) == rows(batch)
 
 
+def test_stream_of_trip_text_equals_batch(spark, busy_events):
+    folder, out, log = (work_path(spark, n) for n in ("trips", "out", "log"))
+    line = F.concat_ws(",", F.lit("green"), F.col("ts").cast("string"), F.lit("2,3,4,5,6,7"), "x", "y", F.lit("0,0"))
+    closing = START + dt.timedelta(hours=5)
+    spark.range(1).select(F.lit(f"end,{closing},2,3,4,5,6,7,0,0,999,999").alias("value")).write.text(folder)
+    busy_events.coalesce(1).select(line.alias("value")).write.mode("append").text(folder)
+    source = readers.ordered_file_stream(spark, folder, "value string", files_per_batch=10, format="text")
+    trips = readers.decode_trips(source, "value", time_field=1)
+    with st.stream_settings(spark, 2):
+        sinks.stream_to_parquet(st.region_stream(trips, BOXES, "60 minutes", delay="2 hours"), out, log).awaitTermination()
+    batch = ar.region_counts(busy_events, BOXES, "60 minutes")
+    assert rows(spark.read.parquet(out), *batch.columns) == rows(batch)
+
+
 def test_stream_sink_in_folders_per_window(spark, busy_events):
     folder, out, log = (work_path(spark, n) for n in ("events", "out", "log"))
     write_in_order(busy_events, folder, 2, START + dt.timedelta(hours=9))
