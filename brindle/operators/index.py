@@ -3,6 +3,7 @@
 A term's postings are stored in blocks of ``BLOCK_DOCS`` consecutive document ids.  That bounds every
 list by its block width, however frequent the term is, and lets the blocks of a frequent term be built
 and read by many tasks.  A collection whose ids fit one block has one list per term.
+Blocks are full if ids are dense; sparse ids give more and shorter blocks with the same content.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions.text import tokenize
@@ -138,11 +138,11 @@ def _lines(t: Tables) -> DataFrame:
     return cooccurrence.tokenized(readers.document_lines(_documents(t)))
 
 
-def _scaled(value) -> F.Column:
+def _scaled(value) -> Column:
     return F.round(value * 1e6).cast("bigint").cast("string")
 
 
-def _stripe_text(stripes: DataFrame, value: Callable[[F.Column], F.Column]) -> DataFrame:
+def _stripe_text(stripes: DataFrame, value: Callable[[Column], Column]) -> DataFrame:
     entries = F.transform(F.array_sort(F.map_entries("stripe")), lambda e: F.concat(e["key"], F.lit(":"), value(e["value"])))
     return stripes.select("w1", F.array_join(entries, " ").alias("stripe"))
 
@@ -198,7 +198,7 @@ def _index(t: Tables) -> DataFrame:
     return index.build_postings(index.term_frequencies(_documents(t)))
 
 
-def _list_text(entries: str, first: str, second: str) -> F.Column:
+def _list_text(entries: str, first: str, second: str) -> Column:
     pairs = F.transform(entries, lambda e: F.concat(e[first].cast("string"), F.lit(":"), e[second].cast("string")))
     return F.array_join(pairs, " ")
 
@@ -436,7 +436,7 @@ def spam_train_batch(t: Tables) -> DataFrame:
     return _rounded_weights(training.train_batch(_instances(t), EPOCHS))
 
 
-def _numbered(t: Tables, model_id: F.Column) -> DataFrame:
+def _numbered(t: Tables, model_id: Column) -> DataFrame:
     return _instances(t).select(
         model_id.alias("model_id"), F.col("doc_id").cast("bigint").alias("doc_id"), "label", "features"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,7 +15,7 @@ def write_table(df: DataFrame, path: str, format: str = "parquet", **options: st
 def write_pairs_text(df: DataFrame, path: str, key: list[str], value: list[str]) -> None:
     """Write ``((k1, k2), (v1, v2))`` lines, replacing the folder."""
 
-    def group(names: list[str]) -> F.Column:
+    def group(names: list[str]) -> Column:
         joined = F.concat_ws(", ", *[F.col(name).cast("string") for name in names])
         return joined if len(names) == 1 else F.concat(F.lit("("), joined, F.lit(")"))
 
