@@ -35,6 +35,8 @@ def ascii_lower(text: Column) -> Column:
 def shingle_hashes(tokens: Column, width: int) -> Column:
     """64-bit hashes of all windows of ``width`` words, in order, repeated ones included.
 
+    ``tokens`` should be a plain column: each window refers to it, and an expression would be evaluated each time.
+
     A shorter sequence that is not empty is one window; an empty one has none.
     """
     return F.when(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import quality, secrets
+from brindle.llm import near_dups, quality, secrets
 from brindle.sources.readers import parquet_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,5 +23,16 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.summary(secrets.scan(parquet_table(spark, folder, "documents")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_secret_scan)}
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.near_duplicates(parquet_table(spark, folder, "documents"), width=2)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_secret_scan,
+        op6_minhash_near_dedup,
+    )
+}
 SQL: dict[str, str] = {}
