@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import near_dups, quality, secrets
+from brindle.llm import decontaminate, lines, near_dups, quality, secrets
 from brindle.sources.readers import parquet_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,12 +27,26 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(parquet_table(spark, folder, "documents"), width=2)
 
 
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = lines.deduplicated(parquet_table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = (parquet_table(spark, folder, name) for name in ("documents", "benchmark"))
+    return decontaminate.summary(decontaminate.contamination(documents, benchmark))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
         op2_secret_scan,
         op6_minhash_near_dedup,
+        op9_line_dedup,
+        op10_decontamination,
     )
 }
 SQL: dict[str, str] = {}
