@@ -21,7 +21,7 @@ from brindle.llm._common import stored
 
 #: Lists up to this length are compared member by member, at once; longer ones in rounds of LEADERS members.
 SHORT = 64
-LEADERS = 32
+LEADERS = 64
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -87,11 +87,15 @@ def linked(
     size columns ``a_size`` and ``b_size``).  ``confirmed`` keeps of the pairs (a, b) those truly linked.
     """
     fits = near("a_size", "b_size") if near else F.lit(True)
-    entries = stored(entries.select("key", "id", "size"), "lists")
-    # First every member against the first one of its list: this connects groups of copies.
-    first = entries.groupBy("key").agg(F.min(F.struct("id", "size")).alias("first"), F.count("*").alias("n"))
+    shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    listed = stored(entries.select("key", "id", "size").join(shared, "key"), "lists")
+    # The member whose lists are longest is the likeliest original of a group of copies.
+    weights = listed.groupBy("id").agg(F.sum("n").alias("weight"))
+    entries = stored(listed.join(weights, "id").select("key", "id", "size", "weight"), "lists")
+    # First every member against the weightiest one of its list: this connects groups of copies.
+    first = entries.groupBy("key").agg(F.max(F.struct("weight", "id", "size")).alias("first"))
     pairs = (
-        entries.join(first.where("n > 1"), "key")
+        entries.join(first, "key")
         .where(F.col("id") != F.col("first.id"))
         .select(F.col("first.id").alias("a"), F.col("id").alias("b"), F.col("first.size").alias("a_size"), F.col("size").alias("b_size"))
         .where(fits)
@@ -117,7 +121,7 @@ def linked(
     edges = edges.unionByName(stored(confirmed(pairs), "links"))
     labels = components(edges)
     # At last long lists: members outside the largest component against all others, some at a time.
-    rest = stored(left.where(F.col("n") > SHORT).select("key", "id", "size", F.lit(False).alias("done")), "lists")
+    rest = stored(left.where(F.col("n") > SHORT).select("key", "id", "size", "weight", F.lit(False).alias("done")), "lists")
     while True:
         named = _labelled(rest, labels)
         sizes = named.groupBy("key", "component").agg(F.count("*").alias("n"))
@@ -125,7 +129,7 @@ def linked(
             F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("n_components")
         ).where("n_components > 1").select("key", F.col("top.component").alias("top"))
         named = stored(named.join(largest, "key"), "lists")
-        rank = F.row_number().over(W.partitionBy("key").orderBy("id"))
+        rank = F.row_number().over(W.partitionBy("key").orderBy(F.desc("weight"), "id"))
         leaders = stored(
             named.where("not done and component <> top")
             .withColumn("rank", rank)
@@ -149,6 +153,6 @@ def linked(
             labels = components(edges)
         used = leaders.select("key", F.col("a").alias("id"), F.lit(True).alias("used"))
         rest = stored(
-            named.join(used, ["key", "id"], "left").select("key", "id", "size", (F.col("done") | F.coalesce("used", F.lit(False))).alias("done")),
+            named.join(used, ["key", "id"], "left").select("key", "id", "size", "weight", (F.col("done") | F.coalesce("used", F.lit(False))).alias("done")),
             "lists",
         )

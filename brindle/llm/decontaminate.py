@@ -187,7 +187,10 @@ def contamination(
     exact = F.filter(
         "places", lambda p: F.slice("words", p["start"] + 1, F.size(p["words"])) == p["words"]
     )
-    joined = rows.join(by_key, "key", "left").select("doc_id", "key", F.size("words").alias("n_words"), exact.alias("places"))
+    # The text is shuffled, not its words, which take more room.
+    texts = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text"))
+    split = texts.join(by_key, "key", "left").select("doc_id", "key", tokens(text_of("text")).alias("words"), "places")
+    joined = split.select("doc_id", "key", F.size("words").alias("n_words"), exact.alias("places"))
     spans = F.transform("places", lambda p: F.struct(p["start"].alias("start"), (p["start"] + F.size(p["words"])).alias("end")))
     covered = F.aggregate(
         spans,

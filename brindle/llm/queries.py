@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import decontaminate, lines, near_dups, quality, secrets
+from brindle.llm import decontaminate, lines, near_dups, pieces, quality, secrets, toxicity
 from brindle.sources.readers import parquet_table
 
+#: Files of public tokenizers; the folder is a parameter of the installation.
+TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
+PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,10 +28,24 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.summary(secrets.scan(parquet_table(spark, folder, "documents")))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(parquet_table(spark, folder, "documents"), parquet_table(spark, folder, "labels"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(parquet_table(spark, folder, "documents"), width=2)
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pieces.encoded(parquet_table(spark, folder, "documents"), pieces.load(PIECE_MODEL))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = lines.deduplicated(parquet_table(spark, folder, "documents"))
     return rows.select(
@@ -44,7 +63,9 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality_rules,
         op2_secret_scan,
+        op3_toxicity,
         op6_minhash_near_dedup,
+        op8_sentencepiece,
         op9_line_dedup,
         op10_decontamination,
     )
