@@ -8,13 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import decontaminate, lines, near_dups, pieces, quality, secrets, toxicity
+from brindle.llm import decontaminate, kneser_ney, lines, near_dups, pieces, quality, secrets, tokens, toxicity
+from brindle.session import work_path
 from brindle.sources.readers import parquet_table
 
 #: Files of public tokenizers; the folder is a parameter of the installation.
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,10 +35,23 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(parquet_table(spark, folder, "documents"), parquet_table(spark, folder, "labels"))
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = parquet_table(spark, folder, "documents")
+    return kneser_ney.scored(documents, kneser_ney.train(documents))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(parquet_table(spark, folder, "documents"), width=2)
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_path(spark, "token-files")
+    with open(BYTE_BPE, encoding="utf-8") as file:
+        tokenizer = file.read()
+    tokens.write_tokens(tokens.encoded(parquet_table(spark, folder, "documents"), tokenizer), path)
+    return tokens.digest(tokens.read_tokens(spark, path))
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     rows = pieces.encoded(parquet_table(spark, folder, "documents"), pieces.load(PIECE_MODEL))
     return rows.select(
@@ -64,7 +80,9 @@ QUERIES: dict[str, Query] = {
         op1_quality_rules,
         op2_secret_scan,
         op3_toxicity,
+        op4_lm_scoring,
         op6_minhash_near_dedup,
+        op7_token_files,
         op8_sentencepiece,
         op9_line_dedup,
         op10_decontamination,
