@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import base64
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import decontaminate, kneser_ney, lines, near_dups, pieces, quality, secrets, tokens, toxicity
+from brindle.llm import decontaminate, kneser_ney, lines, near_dups, pieces, quality, secrets, token_counts, tokens, toxicity
+from brindle.llm._common import stored
 from brindle.session import work_path
 from brindle.sources.readers import parquet_table
 
@@ -16,6 +18,8 @@ from brindle.sources.readers import parquet_table
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 
+# Fixed value: how the byte-level vocabulary splits a text.
+BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +44,25 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.scored(documents, kneser_ney.train(documents))
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after three batches: all documents by one tokenizer, by another, and without exact copies of the first.
+
+    The last batch is committed twice, as a job that is run again would.
+    """
+    documents = parquet_table(spark, folder, "documents")
+    with open(f"{TOKENIZERS}/byte_bpe_50k.tiktoken", "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    pieces_state = stored(token_counts.tiktoken_counts(documents, ranks, BPE_PATTERN, "byte_bpe_50k"), "token-state")
+    words_state = token_counts.word_counts(documents)
+    ledger = work_path(spark, "token-ledger")
+    copies = token_counts.deletes(token_counts.repeated(documents, pieces_state))
+    token_counts.commit(token_counts.inserts(pieces_state), ledger, "1")
+    token_counts.commit(token_counts.inserts(words_state), ledger, "2")
+    for _ in range(2):
+        token_counts.commit(copies, ledger, "3")
+    return token_counts.totals(spark, ledger, ["1", "2", "3"])
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(parquet_table(spark, folder, "documents"), width=2)
 
@@ -81,6 +104,7 @@ QUERIES: dict[str, Query] = {
         op2_secret_scan,
         op3_toxicity,
         op4_lm_scoring,
+        op5_token_counts,
         op6_minhash_near_dedup,
         op7_token_files,
         op8_sentencepiece,
