@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,8 @@ SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 END = 0x110000
 #: Units a worker remembers, and characters that are indexed at once.
-REMEMBERED = 400_000
-INDEXED = 1_000_000
+REMEMBERED = 150_000
+INDEXED = 300_000
 
 
 @dataclass(frozen=True)
@@ -210,17 +211,17 @@ def _slices(sizes: list[int], most: int) -> Iterator[slice]:
     yield slice(first, len(sizes))
 
 
-def encoded(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", characters: int = 8_000_000) -> DataFrame:
-    """(doc_id, ids, decoded): ids and the text they decode to; batches are cut at ``characters``."""
+def encoded(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", characters: int = 1_000_000) -> DataFrame:
+    """(doc_id, ids, decoded): ids and the text they decode to; batches are cut at ``characters`` (bytes of UTF-8)."""
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model)
         words = {}
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for part in _slices([len(t) for t in texts], characters):
-                blobs = encoder.encode(texts[part])
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for part in _slices(sizes, characters):
+                blobs = encoder.encode([t or "" for t in batch.column(1)[part].to_pylist()])
                 offsets = np.cumsum([0, *(len(b) // 4 for b in blobs)]).astype(np.int32)
                 values = np.frombuffer(b"".join(blobs), dtype="<i4")
                 back = []
