@@ -28,6 +28,11 @@ VARINT_LONGEST = 5
 PLAIN_BYTES = 4
 
 
+def _block(doc_id: str, block_docs: int) -> Column:
+    """Number of the block of an id, by whole numbers: a division of doubles is wrong for large ids."""
+    return F.expr(f"(`{doc_id}` - pmod(`{doc_id}`, {block_docs}L)) div {block_docs}L")
+
+
 def term_frequencies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(term, doc_id, tf) over all tokens of each document."""
     terms = documents.select(F.col(doc_id).alias("doc_id"), F.explode(tokenize(text)).alias("term"))
@@ -37,7 +42,7 @@ def term_frequencies(documents: DataFrame, doc_id: str = "doc_id", text: str = "
 def build_postings(frequencies: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(term, block, block_df, last_doc, postings): (doc_id, tf) entries ascending by document id."""
     return _collect_blocks(
-        frequencies.select("term", F.floor(F.col("doc_id") / block_docs).alias("block"), "doc_id", "tf")
+        frequencies.select("term", _block("doc_id", block_docs).alias("block"), "doc_id", "tf")
     )
 
 

@@ -71,7 +71,7 @@ SELECT l_returnflag, l_linestatus,
 FROM lineitem WHERE {SHIPPED} GROUP BY ALL"""
 
 SQL["sql_pricing_summary"] = f"""
-SELECT l_returnflag, l_linestatus, sum_qty, sum_base_price, sum_disc_price, sum_charge, count_order
+SELECT l_returnflag, l_linestatus, sum_qty, sum_base_price, sum_disc_price, sum_charge, avg_qty, avg_price, avg_disc, count_order
 FROM ({SQL["q6_pricing_summary"]})"""
 
 SQL["q7_top_unshipped"] = f"""
@@ -116,7 +116,7 @@ SELECT w1, w2, round(value, 9) AS value FROM freq
 UNION ALL SELECT w1, '*', count(*)::DOUBLE FROM bigrams GROUP BY w1"""
 
 SQL["bigram_freq_stripes"] = f"""WITH {BIGRAMS}
-SELECT w1, string_agg(w2 || ':' || round(value * 1e6)::BIGINT, ' ' ORDER BY w2) AS stripe FROM freq GROUP BY w1"""
+SELECT w1, 0 AS block, string_agg(w2 || ':' || round(value * 1e6)::BIGINT, ' ' ORDER BY w2) AS stripe FROM freq GROUP BY w1"""
 
 PMI = f"""{WORDS},
 pairs AS (SELECT a.w AS w1, b.w AS w2, count(*) AS n FROM words a JOIN words b USING (doc_id, line_no)
@@ -127,7 +127,7 @@ pmi AS (SELECT w1, w2, log10(n::DOUBLE * (SELECT count(*) FROM lines) / (x.c::DO
 SQL["pmi_pairs"] = SQL["pmi_pairs_pruned"] = f"WITH {PMI} SELECT w1, w2, round(pmi, 6) AS pmi, n FROM pmi"
 
 SQL["pmi_stripes"] = f"""WITH {PMI}
-SELECT w1, string_agg(w2 || ':' || round(pmi * 1e6)::BIGINT || '/' || n, ' ' ORDER BY w2) AS stripe
+SELECT w1, 0 AS block, string_agg(w2 || ':' || round(pmi * 1e6)::BIGINT || '/' || n, ' ' ORDER BY w2) AS stripe
 FROM pmi GROUP BY w1"""
 
 # Index -----------------------------------------------------------------------------------------

@@ -144,7 +144,7 @@ def _scaled(value) -> Column:
 
 def _stripe_text(stripes: DataFrame, value: Callable[[Column], Column]) -> DataFrame:
     entries = F.transform(F.array_sort(F.map_entries("stripe")), lambda e: F.concat(e["key"], F.lit(":"), value(e["value"])))
-    return stripes.select("w1", F.array_join(entries, " ").alias("stripe"))
+    return stripes.select("w1", F.col("block").cast("int").alias("block"), F.array_join(entries, " ").alias("stripe"))
 
 
 @query

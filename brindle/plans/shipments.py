@@ -185,6 +185,9 @@ SELECT l_returnflag, l_linestatus,
            AS sum_disc_price,
        round(CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
                       * (1 + CAST(l_tax AS DECIMAL(4,2)))) AS DOUBLE), 6) AS sum_charge,
+       round(CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) / count(*), 6) AS avg_qty,
+       round(CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) / count(*), 6) AS avg_price,
+       round(CAST(sum(CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) / count(*), 6) AS avg_disc,
        count(*) AS count_order
 FROM {lineitem}
 WHERE l_shipdate >= CAST(:day AS DATE) AND l_shipdate < date_add(CAST(:day AS DATE), 1)

@@ -163,3 +163,9 @@ def test_cover_takes_the_rarer_side(spark, texts, query, expected):
     cover = {terms[i] for i in row.select(ix._cover("program", "sizes")).first()[0]}
     assert cover == expected if expected else len(cover) == 2
     assert all(any(term in texts[d].lower().split() for term in cover) for d in brute_query(texts, query))
+
+
+def test_blocks_of_large_ids(spark):
+    ids = [0, 65_535, 65_536, (1 << 53) + 1, (1 << 60) - 1]
+    frequencies = spark.createDataFrame([("a", i, 1) for i in ids], "term string, doc_id bigint, tf int")
+    assert rows(ix.build_postings(frequencies).select("block")) == sorted((b,) for b in {i // 65_536 for i in ids})

@@ -7,6 +7,7 @@ import pytest
 from conftest import plan, rows
 
 import __spark_entry__ as entry
+from brindle.plans import oracle, registry
 from brindle.sources import readers, sinks
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,7 +26,7 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_query_equals_its_sql(spark, database, name):
     frame = entry.queries()[name](spark, FOLDER)
     result = database.sql(entry.oracle_sql()[name])
@@ -38,11 +39,11 @@ def test_query_equals_its_sql(spark, database, name):
 
 
 def test_only_sequential_training_lacks_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == PYTHON
+    assert set(registry.QUERIES) - set(oracle.SQL) == PYTHON
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in registry.QUERIES if not n.startswith("stream_")))
 def test_plans_have_no_cross_join_and_no_needless_python(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER), "simple")
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
