@@ -83,6 +83,17 @@ class ChunkEncoder:
         return np.insert(ids, np.cumsum(per_text), end_id), per_text + 1
 
 
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def encoder_of(tokenizer_json: str) -> ChunkEncoder:
+    """The worker's encoder for a tokenizer; what it has learned serves the worker's next tasks too."""
+    if tokenizer_json not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[tokenizer_json] = ChunkEncoder(tokenizer_json)
+    return _ENCODERS[tokenizer_json]
+
+
 def _parts(texts: list[str]) -> Iterator[slice]:
     first = total = 0
     for at, text in enumerate(texts):
@@ -104,7 +115,7 @@ def encoded(documents: DataFrame, tokenizer_json: str, end_id: int = END_ID, doc
     ordered = ordered.withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_json)
+        encoder = encoder_of(tokenizer_json)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for cut in _parts(texts):
