@@ -113,3 +113,22 @@ QUERIES: dict[str, Query] = {
     )
 }
 SQL: dict[str, str] = {}
+
+SQL["op1_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+p AS (SELECT r, unnest(w) AS v, generate_subscripts(w, 1) AS k FROM w),
+q AS (SELECT r, k, concat_ws(' ', v, lead(v, 1) OVER o, lead(v, 2) OVER o, lead(v, 3) OVER o) || ' ' || lead(v, 4) OVER o AS five
+    FROM p WINDOW o AS (PARTITION BY r ORDER BY k)),
+c AS (SELECT r, k, count(*) OVER (PARTITION BY r, five) AS n FROM q WHERE five IS NOT NULL),
+x AS (SELECT r, count(DISTINCT k + j) AS n FROM c, range(5) AS s(j) WHERE n > 1 GROUP BY r),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+        (len(l) - list_unique(l))::BIGINT AS n_dup_lines, coalesce(x.n, 0)::BIGINT AS n_repeat_words
+    FROM w LEFT JOIN x USING (r)),
+b AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+        + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 4 ELSE 0 END + CASE WHEN 10 * n_symbols > n_words THEN 8 ELSE 0 END
+        + CASE WHEN 2 * word_chars < 5 * n_words THEN 16 ELSE 0 END
+        + CASE WHEN word_chars > 15 * n_words THEN 32 ELSE 0 END)::BIGINT AS fail_bits FROM m)
+SELECT *, fail_bits = 0 AS kept, 'v1' AS policy, fail_bits & 3 <> 0 AS base_failed FROM b"""
