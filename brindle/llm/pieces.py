@@ -29,8 +29,8 @@ SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 END = 0x110000
 #: Units a worker remembers, and characters that are indexed at once.
-REMEMBERED = 150_000
-INDEXED = 300_000
+REMEMBERED = 400_000
+INDEXED = 600_000
 
 
 @dataclass(frozen=True)
@@ -88,19 +88,19 @@ class Encoder:
             width *= 2
         return np.argsort(rank, kind="stable")
 
-    def _bound(self, codes: np.ndarray, order: np.ndarray, upper: bool) -> np.ndarray:
-        """For each piece the first place in the order whose suffix does not lie before (after) it."""
-        low = np.zeros(len(self.ids), dtype=np.int64)
-        high = np.full(len(self.ids), len(order), dtype=np.int64)
+    def _bound(self, codes: np.ndarray, order: np.ndarray, low: np.ndarray, wanted: np.ndarray, upper: bool) -> np.ndarray:
+        """For each wanted piece the first place from ``low`` on whose suffix does not lie before (after) it."""
+        high = np.full(len(wanted), len(order), dtype=np.int64)
         padded = np.r_[codes, np.full(self.longest, END, dtype=codes.dtype)]
-        rows = np.arange(len(self.ids))
+        rows = np.arange(len(wanted))
+        own = self.codes[wanted]
         while (open_ := low < high).any():
             middle = (low + high) >> 1
             window = padded[order[np.minimum(middle, len(order) - 1)][:, None] + np.arange(self.longest)]
-            differs = (window != self.codes) & (self.codes >= 0)
+            differs = (window != own) & (own >= 0)
             first = differs.argmax(axis=1)
             unequal = differs[rows, first]
-            smaller = unequal & (window[rows, first] < self.codes[rows, first])
+            smaller = unequal & (window[rows, first] < own[rows, first])
             go_right = open_ & (smaller | (upper & ~unequal))
             low = np.where(go_right, middle + 1, low)
             high = np.where(open_ & ~go_right, middle, high)
@@ -109,9 +109,14 @@ class Encoder:
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Occurrences of pieces, sorted by position: start * (longest + 1) + length, and the piece's row."""
         order = self.suffixes(codes)
-        low, high = self._bound(codes, order, False), self._bound(codes, order, True)
+        # A piece with a character that the batch has not cannot occur.
+        seen = np.zeros(END + 2, dtype=bool)
+        seen[codes] = True
+        wanted = np.flatnonzero((seen[self.codes] | (self.codes < 0)).all(axis=1))
+        low = self._bound(codes, order, np.zeros(len(wanted), dtype=np.int64), wanted, False)
+        high = self._bound(codes, order, low, wanted, True)
         counts = high - low
-        piece = np.repeat(np.arange(len(self.ids)), counts)
+        piece = np.repeat(wanted, counts)
         shift = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         start = order[np.repeat(low, counts) + shift]
         key = start * (self.longest + 1) + self.lengths[piece]
@@ -165,14 +170,17 @@ class Encoder:
         found = self._find(keys, starts, np.diff(np.r_[starts, len(codes)]))
         ids = np.where(found >= 0, self.ids[pieces[found]], -1)
         cuts = np.searchsorted(starts, np.r_[ends + 1 - sizes, len(codes)])
-        for unit, first, last in zip(units, cuts[:-1], cuts[1:]):
-            own = ids[first : last - 1]
-            if (own < 0).any():
-                listed: list[int] = []
-                for i, at in zip(own, starts[first : last - 1]):
-                    listed += [int(i)] if i >= 0 else [self.byte_ids[b] for b in chr(codes[at]).encode("utf-8", "surrogatepass")]
-                own = np.array(listed)
-            self.known[unit] = own.astype("<i4").tobytes()
+        blob = ids.astype("<i4").tobytes()
+        self.known.update(zip(units, (blob[4 * first : 4 * last - 4] for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()))))
+        # A character that is no piece becomes its bytes; the mark behind a unit is none of its own.
+        missing = ids < 0
+        missing[cuts[1:] - 1] = False
+        for row in np.unique(np.searchsorted(cuts, np.flatnonzero(missing), side="right") - 1):
+            first, last = cuts[row], cuts[row + 1]
+            listed: list[int] = []
+            for i, at in zip(ids[first : last - 1], starts[first : last - 1]):
+                listed += [int(i)] if i >= 0 else [self.byte_ids[b] for b in chr(codes[at]).encode("utf-8", "surrogatepass")]
+            self.known[units[row]] = np.array(listed, dtype="<i4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids per text as little-endian 32-bit integers."""
@@ -201,6 +209,17 @@ def decode(model: Model, ids: np.ndarray) -> str:
     return out.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
 
 
+_ENCODERS: dict[Model, Encoder] = {}
+
+
+def encoder_of(model: Model) -> Encoder:
+    """The worker's encoder for a model; the units it has met serve the worker's next tasks too."""
+    if model not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[model] = Encoder(model)
+    return _ENCODERS[model]
+
+
 def _slices(sizes: list[int], most: int) -> Iterator[slice]:
     first = total = 0
     for at, size in enumerate(sizes):
@@ -211,12 +230,12 @@ def _slices(sizes: list[int], most: int) -> Iterator[slice]:
     yield slice(first, len(sizes))
 
 
-def encoded(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", characters: int = 1_000_000) -> DataFrame:
+def encoded(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", characters: int = 2_000_000) -> DataFrame:
     """(doc_id, ids, decoded): ids and the text they decode to; batches are cut at ``characters`` (bytes of UTF-8)."""
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        encoder = encoder_of(model)
         words = {}
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
