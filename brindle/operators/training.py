@@ -1,42 +1,113 @@
 """Training of sparse logistic models without a bias term.
 
-``train_sgd`` is the sequential learner: an instance is scored with the weights so far, then every
-occurrence of each of its features adds (y - p) * delta.  Such a pass cannot be split without changing
-its result, so it is exact up to ``shard_rows`` instances per model.  Larger sets are cut into shards
-of about that size, which are trained side by side and whose weights are averaged (a feature unseen
-by a shard counts 0 there); that differs from one long pass, and no task has to hold the whole set.
-
-``train_batch`` takes full-batch gradient steps with the same update rule.  It has no order at all
-and scales with the number of feature occurrences.
+The update is the same everywhere: an instance is scored with the weights so far, and every occurrence of
+each of its features then adds (y - p) * delta.
+
+``train_minibatch`` is the learner for tables of any size: one pass in ``BATCHES`` parts.  An instance's part
+follows from a seeded hash of its id, so another seed is another random order.  All instances of a part are
+scored with the weights of the parts before it.  Several models, keyed by ``model_id``, train in one job.
+
+``train_batch`` takes full-batch steps; it has no order at all.
+
+``train_sgd`` is the strictly sequential pass, instance by instance, for labelled sets that are bounded by
+``max_rows`` per model.  A larger set fails; it is not trained in another way.
 """
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import groupby
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.numeric import sigmoid
-from brindle.operators.classify import SPAM, feature_counts
-from brindle.session import shared_dir
+from brindle.operators.classify import SPAM
+from brindle.session import shared_dir, written
 
 # The learning rate.
 DELTA = 0.002
 
-SHARD_ROWS = 500_000
-LISTED_MODELS = 1_000
-CHECKPOINT_EVERY = 5
+#: Parts of one pass, at every size.
+BATCHES = 8
+#: Labelled rows per model that the sequential learner accepts.
+MAX_ROWS = 500_000
+
+
+def random_position(key: str, seed: int) -> Column:
+    """A reproducible random number below 2 ** 32 for each key, null for a null key."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def in_random_order(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    """The rows in a random order that only depends on key and seed; ``position`` is the sort key, ties go by key."""
+    return rows.withColumn("position", random_position(key, seed)).orderBy("position", key)
+
+
+def _cells(instances: DataFrame, *more: Column) -> DataFrame:
+    """(model_id, doc_id, target, ..., feature, n): occurrences of the features that are not null."""
+    rows = instances.select(
+        "model_id", "doc_id", (F.col("label") == SPAM).cast("double").alias("target"), *more, F.explode("features").alias("feature")
+    ).where("feature is not null")
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
+def _steps(cells: DataFrame, weights: DataFrame | None, delta: float) -> DataFrame:
+    """(model_id, feature, weight): what the instances of ``cells`` add to the weights."""
+    if weights is None:
+        scored, score = cells, F.lit(0.0)
+    else:
+        scores = (
+            cells.join(weights, ["model_id", "feature"], "left")
+            .groupBy("model_id", "doc_id")
+            .agg(F.sum(F.coalesce("weight", F.lit(0.0)) * F.col("n")).alias("score"))
+        )
+        scored, score = cells.join(scores, ["model_id", "doc_id"]), F.col("score")
+    change = (F.col("target") - sigmoid(score)) * F.col("n") * delta
+    return scored.groupBy("model_id", "feature").agg(F.sum(change).alias("weight"))
+
+
+def _trained(parts: Iterable[DataFrame], delta: float) -> DataFrame:
+    """Weights after one step per part.  They are checkpointed in between, so each plan holds one step."""
+    weights = None
+    for cells in parts:
+        if weights is None:
+            weights = _steps(cells, None, delta)
+            continue
+        weights = weights.checkpoint()
+        both = weights.unionByName(_steps(cells, weights, delta))
+        weights = both.groupBy("model_id", "feature").agg(F.sum("weight").alias("weight"))
+    return weights
+
+
+def train_minibatch(instances: DataFrame, seed: int = 0, batches: int = BATCHES, delta: float = DELTA) -> DataFrame:
+    """(model_id, feature, weight) from (model_id, doc_id, label, features), trained in one pass of ``batches`` parts.
+
+    A model has a weight for every feature of its instances.  Instances with a null id are of part 0.
+    """
+    shared_dir(instances.sparkSession)
+    part = F.coalesce(F.pmod(random_position("doc_id", seed), F.lit(batches)), F.lit(0)).cast("int").alias("part")
+    cells = written(_cells(instances, part), "cells", "part")
+    return _trained((cells.where(F.col("part") == number) for number in range(batches)), delta)
+
 
+def train_batch(instances: DataFrame, epochs: int = 1, delta: float = DELTA, model_id: str = "model") -> DataFrame:
+    """(model_id, feature, weight) after full-batch steps from zero weights over (doc_id, label, features)."""
+    shared_dir(instances.sparkSession)
+    cells = written(_cells(instances.withColumn("model_id", F.lit(model_id))), "cells")
+    return _trained((cells for _ in range(epochs)), delta)
 
-def _pass_over(rows: Iterable[tuple[int, Iterable[int]]], delta: float) -> dict[int, float]:
+
+def _pass_over(rows: Iterable[tuple[int, Iterable[int]]], delta: float, max_rows: int) -> dict[int, float]:
     """One sequential pass over (target, features)."""
     weights: dict[int, float] = defaultdict(float)
-    for target, features in rows:
+    for number, (target, features) in enumerate(rows):
+        if number >= max_rows:
+            raise ValueError(f"a model has more than {max_rows} labelled rows")
         score = sum(weights.get(f, 0.0) for f in features)
         # exp(-score) overflows below about -709, where the probability is 0 in double precision.
         probability = 1.0 / (1.0 + math.exp(-score)) if score > -700 else 0.0
@@ -46,98 +117,45 @@ def _pass_over(rows: Iterable[tuple[int, Iterable[int]]], delta: float) -> dict[
     return weights
 
 
-def _trainer(delta: float):
-    """Train each (model_id, shard) of a partition sorted by them, batch by batch."""
-
-    def emit(key: tuple[str, int], weights: dict[int, float]) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "model_id": key[0],
-                "shard": key[1],
-                "feature": pd.Series(list(weights.keys()), dtype="int32"),
-                "weight": pd.Series(list(weights.values()), dtype="float64"),
-            }
-        )
+def _trainer(delta: float, max_rows: int):
+    """Train each model of a partition sorted by model, batch by batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for batch in batches:
-                yield from zip(batch["model_id"], batch["shard"], batch["target"], batch["features"])
-
-        for key, group in groupby(rows(), key=lambda r: (r[0], r[1])):
-            yield emit(key, _pass_over(((r[2], r[3]) for r in group), delta))
+                yield from zip(batch["model_id"], batch["target"], batch["features"])
+
+        for model_id, group in groupby(rows(), key=lambda r: r[0]):
+            weights = _pass_over(((r[1], r[2]) for r in group), delta, max_rows)
+            yield pd.DataFrame(
+                {
+                    "model_id": model_id,
+                    "feature": pd.Series(list(weights.keys()), dtype="int32"),
+                    "weight": pd.Series(list(weights.values()), dtype="float64"),
+                }
+            )
 
     return run
 
 
-def _shard_counts(instances: DataFrame, shard_rows: int) -> Callable[[DataFrame], DataFrame]:
-    """A function that adds ``shards``, the number of shards of each row's model.
-
-    Models are few, so up to ``LISTED_MODELS`` of them the numbers travel inside the plan; with more
-    they are joined, as any other table.
-    """
-    sizes = instances.groupBy("model_id").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
-    listed = sizes.limit(LISTED_MODELS + 1).collect()
-    if not listed or len(listed) > LISTED_MODELS:
-        return lambda df: df.join(sizes, "model_id")
-    mapping = F.create_map(*[F.lit(v) for row in listed for v in (row["model_id"], row["shards"])])
-    return lambda df: df.withColumn("shards", F.element_at(mapping, F.col("model_id")))
-
-
 def train_sgd(
     instances: DataFrame,
     order_by: str = "doc_id",
     shuffle_seed: int | None = None,
-    shards: int | None = None,
-    shard_rows: int = SHARD_ROWS,
+    max_rows: int = MAX_ROWS,
     delta: float = DELTA,
 ) -> DataFrame:
-    """(model_id, feature, weight) from (model_id, doc_id, label, features).
+    """(model_id, feature, weight) from (model_id, doc_id, label, features), instance by instance.
 
-    One job trains all models in the table.  Instances are taken in the order of ``order_by``, or in a
-    reproducible random order if ``shuffle_seed`` is given.  ``shards`` fixes the shards per model; by
-    default they follow from the number of instances.
+    Instances are taken in the order of ``order_by``, or in a reproducible random order if ``shuffle_seed`` is given.
+    A model with more than ``max_rows`` labelled rows fails the job.
     """
-    if shuffle_seed is None:
-        order = F.col(order_by)
-    else:
-        order = F.xxhash64(F.col(order_by), F.lit(shuffle_seed))
-    if shards:
-        sharded = lambda df: df.withColumn("shards", F.lit(shards))
-    else:
-        sharded = _shard_counts(instances, shard_rows)
-    rows = sharded(instances).select(
-        "model_id",
-        F.pmod(F.xxhash64(F.col(order_by)), F.col("shards")).cast("int").alias("shard"),
-        (F.col("label") == SPAM).cast("int").alias("target"),
-        "features",
-        order.alias("position"),
-        F.col(order_by).alias("tie"),
+    order = F.col(order_by) if shuffle_seed is None else random_position(order_by, shuffle_seed)
+    target = (F.col("label") == SPAM).cast("int").alias("target")
+    rows = instances.select("model_id", target, "features", order.alias("position"), F.col(order_by).alias("tie"))
+    return (
+        rows.repartition("model_id")
+        .sortWithinPartitions("model_id", "position", "tie")
+        .select("model_id", "target", "features")
+        .mapInPandas(_trainer(delta, max_rows), "model_id string, feature int, weight double")
     )
-    trained = (
-        rows.repartition("model_id", "shard")
-        .sortWithinPartitions("model_id", "shard", "position", "tie")
-        .select("model_id", "shard", "target", "features")
-        .mapInPandas(_trainer(delta), "model_id string, shard int, feature int, weight double")
-    )
-    totals = trained.groupBy("model_id", "feature").agg(F.sum("weight").alias("total"))
-    return sharded(totals).select("model_id", "feature", (F.col("total") / F.col("shards")).alias("weight"))
-
-
-def train_batch(instances: DataFrame, epochs: int = 1, delta: float = DELTA, model_id: str = "model") -> DataFrame:
-    """(model_id, feature, weight) after full-batch steps from zero weights over (doc_id, label, features)."""
-    cells = feature_counts(instances).where("feature is not null")
-    target = (F.col("label") == SPAM).cast("double")
-    weights = cells.groupBy("feature").agg(F.sum((target - 0.5) * F.col("n") * delta).alias("weight"))
-    shared_dir(instances.sparkSession)
-    for done in range(1, epochs):
-        if done % CHECKPOINT_EVERY == 0:
-            weights = weights.checkpoint()
-        scored = cells.join(weights, "feature").groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("n")).alias("score"))
-        steps = (
-            cells.join(scored, "doc_id")
-            .groupBy("feature")
-            .agg(F.sum((target - sigmoid("score")) * F.col("n") * delta).alias("change"))
-        )
-        weights = weights.join(steps, "feature").select("feature", (F.col("weight") + F.col("change")).alias("weight"))
-    return weights.select(F.lit(model_id).alias("model_id"), "feature", "weight")

@@ -1,10 +1,11 @@
 """Applying, combining and training sparse linear models."""
 
+import hashlib
 import math
 import random
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from brindle.operators import classify, training
@@ -102,39 +103,66 @@ def close(got, expected):
     assert all(math.isclose(got[k], expected[k], abs_tol=1e-12) for k in expected)
 
 
-def test_one_shard_is_the_sequential_learner(numbered):
+def position(key, seed):
+    return int(hashlib.md5(f"{seed}:{key}".encode()).hexdigest()[:8], 16)
+
+
+def in_parts(data, seed, batches, delta=0.002):
+    """One pass over (id, label, features) in parts, each scored with the weights before it."""
+    weights = {}
+    for part in range(batches):
+        change = {}
+        for i, label, features in data:
+            if position(i, seed) % batches == part:
+                p = 1 / (1 + math.exp(-sum(weights.get(f, 0.0) for f in features)))
+                for f in features:
+                    change[f] = change.get(f, 0.0) + ((label == "spam") - p) * delta
+        for f, c in change.items():
+            weights[f] = weights.get(f, 0.0) + c
+    return weights
+
+
+@pytest.mark.parametrize("seed, batches", [(0, 8), (4, 3)])
+def test_pass_in_parts(numbered, seed, batches):
+    found = weights_of(training.train_minibatch(numbered, seed=seed, batches=batches))
+    for group in (0, 1):
+        close(found[f"g{group}"], in_parts([row for row in training_set() if row[0] % 2 == group], seed, batches))
+
+
+def test_pass_in_parts_keeps_null_ids_and_takes_empty_tables(spark, numbered):
+    data = [("m", None, "spam", [1]), ("m", None, "ham", [2, 2]), ("m", 1, "spam", []), ("m", 2, "ham", None)]
+    frame = spark.createDataFrame(data, numbered.schema)
+    close(weights_of(training.train_minibatch(frame))["m"], {1: 0.001, 2: -0.002})
+    assert training.train_minibatch(frame.limit(0)).count() == 0
+
+
+def test_plans_do_not_grow_with_the_steps(spark, numbered):
+    def joins(df):
+        return plan(df, "simple").count("Join")
+
+    assert joins(training.train_minibatch(numbered, batches=3)) == joins(training.train_minibatch(numbered, batches=6))
+    instances = numbered.drop("model_id")
+    assert joins(training.train_batch(instances, 2)) == joins(training.train_batch(instances, 5))
+
+
+def test_random_order(numbered):
+    ids = [r.doc_id for r in training.in_random_order(numbered, "doc_id", 4).collect()]
+    assert ids == sorted(range(400), key=lambda i: (position(i, 4), i))
+
+
+def test_sequential_learner(numbered):
     found = weights_of(training.train_sgd(numbered))
     for group in (0, 1):
         close(found[f"g{group}"], sequential([(y, f) for i, y, f in training_set() if i % 2 == group]))
+    shuffled = weights_of(training.train_sgd(numbered, shuffle_seed=4))
+    order = sorted(training_set(), key=lambda row: position(row[0], 4))
+    close(shuffled["g0"], sequential([(y, f) for i, y, f in order if i % 2 == 0]))
 
 
-def test_shuffled_order_is_reproducible(numbered):
-    first = weights_of(training.train_sgd(numbered, shuffle_seed=4))
-    again = weights_of(training.train_sgd(numbered.repartition(2), shuffle_seed=4))
-    other = weights_of(training.train_sgd(numbered, shuffle_seed=5))
-    assert first == again and first != other
-    order = numbered.where("model_id = 'g0'").orderBy(F.xxhash64("doc_id", F.lit(4)))
-    close(first["g0"], sequential([(r.label, r.features) for r in order.collect()]))
-
-
-@pytest.mark.parametrize("options", [{"shards": 3}, {"shard_rows": 70}])
-def test_shards_are_averaged(numbered, options):
-    shards = options.get("shards", 3)  # 200 instances per model, 70 to a shard
-    found = weights_of(training.train_sgd(numbered, **options))
-    split = numbered.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards))).orderBy("doc_id").collect()
-    for group in ("g0", "g1"):
-        total = {}
-        for shard in range(shards):
-            part = [(r.label, r.features) for r in split if r.model_id == group and r.shard == shard]
-            for f, w in sequential(part).items():
-                total[f] = total.get(f, 0.0) + w / shards
-        close(found[group], total)
-
-
-def test_many_models_are_joined_instead_of_listed(numbered, monkeypatch):
-    listed = weights_of(training.train_sgd(numbered))
-    monkeypatch.setattr(training, "LISTED_MODELS", 1)
-    assert weights_of(training.train_sgd(numbered)) == listed
+def test_sequential_learner_refuses_a_larger_set(numbered):
+    assert training.train_sgd(numbered, max_rows=200).count() > 0
+    with pytest.raises(Exception, match="more than 199 labelled rows"):
+        training.train_sgd(numbered, max_rows=199).collect()
 
 
 @pytest.mark.parametrize("epochs", [1, 7])
