@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.text import WORD_LIMIT, line_words, sliding_pairs, tokenize
-from brindle.session import shared_dir
+from brindle.session import written
 
 # The default co-occurrence threshold and the name of a marginal row.
 THRESHOLD = 10
@@ -150,27 +150,25 @@ def _pmi(pairs: DataFrame, lines: DataFrame, limit: int) -> DataFrame:
     return scored.select(F.inline(both).alias("w1", "w2"), "pmi", "n")
 
 
-def pmi_pairs(lines: DataFrame, threshold: int = THRESHOLD, limit: int = WORD_LIMIT) -> DataFrame:
-    """(w1, w2, pmi, n): log10(n * lines / (c1 * c2)) for ordered pairs on at least ``threshold`` lines."""
-    pairs = pair_counts(lines, limit).where(F.col("n") >= threshold)
-    return _pmi(pairs, lines, limit)
-
-
-def pmi_pairs_pruned(
+def pmi_pairs(
     lines: DataFrame, line_key: list[str], threshold: int = THRESHOLD, limit: int = WORD_LIMIT
 ) -> DataFrame:
-    """The same result as ``pmi_pairs``, pairing only words that are frequent enough."""
-    return _pmi(frequent_pair_counts(lines, threshold, line_key, limit), lines, limit)
+    """(w1, w2, pmi, n): log10(n * lines / (c1 * c2)) for ordered pairs on at least ``threshold`` lines.
+
+    Only words that are frequent enough are paired.  ``line_key`` identifies a line.  The words of the lines
+    are read several times, so they are written once.
+    """
+    kept = written(lines.select(*line_key, line_words("tokens", limit).alias("tokens")), "line-words")
+    return _pmi(frequent_pair_counts(kept, threshold, line_key, limit), kept, limit)
 
 
 def pmi_stripes(
-    lines: DataFrame, threshold: int = THRESHOLD, limit: int = WORD_LIMIT, max_cells: int = STRIPE_CELLS
+    lines: DataFrame, line_key: list[str], threshold: int = THRESHOLD, limit: int = WORD_LIMIT, max_cells: int = STRIPE_CELLS
 ) -> DataFrame:
     """(w1, block, stripe): map w2 -> (pmi, n); a word without a kept pair has no row.
 
     The kept pairs are few next to all counted ones and are read twice, so they are written once.
     """
-    shared_dir(lines.sparkSession)
-    pairs = pmi_pairs(lines, threshold, limit).checkpoint()
+    pairs = written(pmi_pairs(lines, line_key, threshold, limit), "pairs")
     sizes = pairs.groupBy("w1").agg(F.count("*").alias("cells"))
     return to_stripes(pairs.join(sizes, "w1"), F.struct("pmi", "n"), max_cells)

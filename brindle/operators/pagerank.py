@@ -21,13 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions.numeric import fixed_point
-from brindle.session import shared_dir, work_path
+from brindle.session import shared_dir, work_path, written
 
 # The jump probability.
 ALPHA = 0.15
 
 SHARD_EDGES = 1_000_000
-EDGES_PER_BUCKET = 100_000
 CHECKPOINT_EVERY = 1
 
 
@@ -44,20 +43,18 @@ def _is_source(column: str, sources: list[int]):
     return F.col(column).isin(sources)
 
 
-def edges_from_adjacency(adjacency: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges) from (id, neighbours); every list has a node record, an id with two of them fails."""
-    nodes = (
-        adjacency.groupBy("id")
-        .agg(F.count("*").alias("records"))
-        .where(
-            F.when(F.col("records") == 1, True).otherwise(
-                F.raise_error(F.concat(F.lit("several node records for id "), F.col("id").cast("string"))).cast("boolean")
-            )
-        )
-        .select("id")
+def _single_records(ids: DataFrame) -> DataFrame:
+    """The ids, once each; an id that occurs twice fails the job."""
+    single = F.when(F.col("records") == 1, True).otherwise(
+        F.raise_error(F.concat(F.lit("several node records for id "), F.col("id").cast("string"))).cast("boolean")
     )
+    return ids.groupBy("id").agg(F.count("*").alias("records")).where(single).select("id")
+
+
+def edges_from_adjacency(adjacency: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) from (id, neighbours); every list is a node record."""
     edges = adjacency.select(F.col("id").alias("src"), F.explode_outer("neighbours").alias("dst")).where("dst is not null")
-    return nodes, edges
+    return adjacency.select("id"), edges
 
 
 def build_graph(
@@ -65,19 +62,24 @@ def build_graph(
 ) -> Graph:
     """Prepare a graph: degrees, dangling nodes (degree 0), source marks, sharded edges.
 
-    Repeated edges count repeatedly.  Edges leaving an id without a node record carry no rank.
+    Repeated edges count repeatedly.  Edges leaving an id without a node record carry no rank and are left out.
+    An id with two node records fails the job.  Edges are written first; degrees, and the shards of hubs, are
+    taken from what is written.
     """
     sources = sorted(set(sources))
     if not sources:
         raise ValueError("at least one source is needed")
-    degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
-    known = nodes.join(degrees, F.col("id") == F.col("src"), "left").select(
+    ids = written(_single_records(nodes.select("id")), "node-ids")
+    kept = written(edges.select("src", "dst").join(ids, F.col("src") == F.col("id"), "left_semi"), "raw-edges")
+    degrees = kept.groupBy("src").agg(F.count("*").alias("degree"))
+    known = ids.join(degrees, F.col("id") == F.col("src"), "left").select(
         "id",
         F.coalesce("degree", F.lit(0)).alias("degree"),
         F.ceil(F.coalesce("degree", F.lit(0)) / shard_edges).cast("int").alias("shards"),
         _is_source("id", sources).alias("is_source"),
     )
-    return Graph(known, _sharded(edges, known), sources)
+    known = written(known, "degrees")
+    return Graph(known, _sharded(kept, known), sources)
 
 
 def _sharded(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -90,36 +92,27 @@ def _sharded(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def materialize(graph: Graph, edges_per_bucket: int = EDGES_PER_BUCKET) -> Graph:
-    """Write nodes and edges once, as tables in the shared folder.
+def materialize(graph: Graph, buckets: int | None = None) -> Graph:
+    """Write nodes and edges as bucketed tables in the shared folder, nodes by id and edges by (src, shard).
 
-    With edges enough to fill them, the tables are bucketed, nodes by id and edges by (src, shard), into
-    as many buckets as a shuffle has partitions.  Joins on these keys then read the buckets in place: a
-    step moves ranks and partial sums but never the edges.  A smaller graph is stored plainly, and
-    adaptive execution fits the number of tasks to it.
+    Joins on these keys read the buckets in place: a step moves ranks and partial sums but never the edges.
+    The number of buckets is the caller's choice, by default as many as a shuffle has partitions.
     """
     spark = graph.nodes.sparkSession
     shared_dir(spark)
-    nodes = graph.nodes.checkpoint()
-    edges = nodes.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if edges < buckets * edges_per_bucket:
-        buckets = 0
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return Graph(
-        _stored(nodes, "nodes", buckets, "id"),
-        _stored(_sharded(graph.edges, nodes), "edges", buckets, "src", "shard"),
+        _bucketed(graph.nodes, "nodes", buckets, "id"),
+        _bucketed(graph.edges, "edges", buckets, "src", "shard"),
         graph.sources,
     )
 
 
-def _stored(table: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
+def _bucketed(table: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
     spark = table.sparkSession
     path = work_path(spark, name)
-    if not buckets:
-        table.write.parquet(path)
-        return spark.read.parquet(path)
-    # The shuffle and the buckets use the same hash, so each bucket is written by one task as one file.
     stored = path.rsplit("/", 1)[-1].replace("-", "_")
+    # The shuffle and the buckets use the same hash, so each bucket is written by one task as one file.
     bucketed = table.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
     bucketed.option("path", path).saveAsTable(stored)
     return spark.table(stored)
@@ -137,6 +130,11 @@ def repaired_edges(graph: Graph) -> DataFrame:
     return graph.edges.select("src", "dst").unionByName(dangling)
 
 
+def dangling_nodes(graph: Graph) -> DataFrame:
+    """(id, added): the nodes without edges, and how many edges the repair gives each (one per source)."""
+    return graph.nodes.where(F.col("degree") == 0).select("id", F.lit(len(graph.sources)).cast("bigint").alias("added"))
+
+
 def graph_stats(graph: Graph) -> DataFrame:
     """One row: nodes, edges (a dangling node has none), active nodes."""
     return graph.nodes.agg(
@@ -154,14 +152,10 @@ def step(graph: Graph, ranks: DataFrame, alpha: float = ALPHA) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
         (F.col("rank") / F.col("degree")).alias("share"),
     )
-    # Hash joins that build on ranks and sums (one row per node or shard, evenly hashed) spare the sort
-    # of the edges in every step.
-    received = (
-        graph.edges.join(senders.hint("shuffle_hash"), ["src", "shard"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("mass"))
-    )
+    received = graph.edges.join(senders, ["src", "shard"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("mass"))
     dangling = ranks.where(F.col("degree") == 0).agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("mass")).scalar()
     jump = F.when(F.col("is_source"), F.lit(alpha / m) + (1 - alpha) * dangling / m).otherwise(0.0)
-    return graph.nodes.join(received.hint("shuffle_hash"), "id", "left").select(
+    return graph.nodes.join(received, "id", "left").select(
         "id",
         "degree",
         "shards",
@@ -206,9 +200,7 @@ def iteration_stats(graph: Graph, ranks: DataFrame) -> DataFrame:
     node to an absent source, sends rank to it.
     """
     m = len(graph.sources)
-    targets = graph.edges.join(graph.nodes.select(F.col("id").alias("src")), "src", "left_semi").select(
-        F.col("dst").alias("id")
-    )
+    targets = graph.edges.select(F.col("dst").alias("id"))
     spark = graph.nodes.sparkSession
     wanted = spark.createDataFrame([(s,) for s in graph.sources], "id bigint")
     any_dangling = graph.nodes.where(F.col("degree") == 0).select("id").limit(1).exists()

@@ -11,7 +11,7 @@ from brindle.functions.numeric import RATE_BOUNDS
 from brindle.operators.arrivals import GROWTH, MIN_ARRIVALS
 from brindle.operators.pagerank import ALPHA
 from brindle.operators.scoring import INTERVAL, POISSON_STEPS, RESAMPLES
-from brindle.operators.training import DELTA
+from brindle.operators.training import BATCHES, DELTA
 from brindle.plans.registry import (
     AND_QUERY,
     BOXES,
@@ -115,12 +115,19 @@ SQL["bigram_freq_pairs"] = f"""WITH {BIGRAMS}
 SELECT w1, w2, round(value, 9) AS value FROM freq
 UNION ALL SELECT w1, '*', count(*)::DOUBLE FROM bigrams GROUP BY w1"""
 
+SQL["bigram_text_sink"] = f"""WITH {BIGRAMS}
+SELECT '((' || w1 || ', ' || w2 || '), ' || n || ')' AS line FROM cells"""
+
 SQL["bigram_freq_stripes"] = f"""WITH {BIGRAMS}
 SELECT w1, 0 AS block, string_agg(w2 || ':' || round(value * 1e6)::BIGINT, ' ' ORDER BY w2) AS stripe FROM freq GROUP BY w1"""
 
 PMI = f"""{WORDS},
-pairs AS (SELECT a.w AS w1, b.w AS w2, count(*) AS n FROM words a JOIN words b USING (doc_id, line_no)
-          WHERE a.w <> b.w GROUP BY ALL HAVING count(*) >= 10),
+often AS MATERIALIZED (SELECT w, c, row_number() OVER () AS k FROM counts WHERE c >= 10),
+keyed AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY doc_id, line_no) AS line, k FROM words JOIN often USING (w)),
+half AS MATERIALIZED (SELECT a.k AS k1, b.k AS k2, count(*) AS n FROM keyed a JOIN keyed b ON a.line = b.line AND a.k < b.k
+          GROUP BY ALL HAVING count(*) >= 10),
+pairs AS (SELECT x.w AS w1, y.w AS w2, n FROM (SELECT * FROM half UNION ALL SELECT k2, k1, n FROM half)
+          JOIN often x ON x.k = k1 JOIN often y ON y.k = k2),
 pmi AS (SELECT w1, w2, log10(n::DOUBLE * (SELECT count(*) FROM lines) / (x.c::DOUBLE * y.c::DOUBLE)) AS pmi, n
         FROM pairs JOIN counts x ON x.w = w1 JOIN counts y ON y.w = w2)"""
 
@@ -218,7 +225,9 @@ SQL["graph_stats"] = f"""WITH {_graph_sql()}
 SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM edges) AS edges,
     (SELECT count(*) FROM nodes WHERE id IN (SELECT src FROM edges)) AS active_nodes"""
 
-SQL["graph_dangling"] = f"WITH {_graph_sql()} SELECT src, dst::BIGINT AS dst FROM repair"
+SQL["graph_from_adjacency_text"] = SQL["graph_stats"]
+
+SQL["graph_dangling"] = f"WITH {_graph_sql()} SELECT src AS id, count(*) AS added FROM repair GROUP BY src"
 
 SQL["pagerank_iter1"] = f"WITH {_ranks_sql(1)} SELECT id, round(rank, 9) AS rank FROM r1"
 
@@ -263,6 +272,7 @@ FROM (SELECT doc_id, label, {score} AS score FROM s)"""
 
 SQL["spam_scores"] = SQL["spam_scores_from_text"] = f"WITH {FEATURES} SELECT * FROM scored"
 SQL["spam_average"] = _ensemble_sql(f"({' + '.join(MODELS)}) / {len(MODELS)}")
+SQL["ensemble_from_text"] = SQL["spam_average"]
 SQL["spam_vote"] = _ensemble_sql(" + ".join(f"CASE WHEN {m} > 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END" for m in MODELS))
 
 
@@ -281,6 +291,29 @@ SELECT 'model' AS model_id, f AS feature, round(weight, 9) AS weight FROM w{epoc
 
 SQL["spam_train_batch"] = _batch_sql(EPOCHS)
 
+
+def _minibatch_sql(seed: int, model: str = "'all'") -> str:
+    """One pass in BATCHES parts, each step materialized: the part of an instance follows from its md5."""
+    parts = [FEATURES, f"""
+x AS MATERIALIZED (SELECT {model} AS m, doc_id, f, CASE WHEN label = 'spam' THEN 1.0 ELSE 0.0 END::DOUBLE AS y,
+    ('0x' || substr(md5('{seed}:' || doc_id), 1, 8))::BIGINT % {BATCHES} AS part FROM feats JOIN inst USING (doc_id)),
+w0 AS (SELECT DISTINCT m, f, 0.0::DOUBLE AS weight FROM x)"""]
+    for i in range(BATCHES):
+        parts.append(f"""
+p{i} AS MATERIALIZED (SELECT m, doc_id, 1 / (1 + exp(-sum(weight))) AS p
+    FROM x JOIN w{i} USING (m, f) WHERE part = {i} GROUP BY m, doc_id),
+d{i} AS MATERIALIZED (SELECT m, f, sum((y - p) * {DELTA}) AS d FROM x JOIN p{i} USING (m, doc_id) GROUP BY m, f),
+w{i + 1} AS MATERIALIZED (SELECT w{i}.m, w{i}.f, weight + coalesce(d, 0) AS weight FROM w{i} LEFT JOIN d{i} USING (m, f))""")
+    return f"""WITH {",".join(parts)}
+SELECT m AS model_id, f AS feature, round(weight, 9) AS weight FROM w{BATCHES}"""
+
+
+SQL["spam_train_sgd"] = _minibatch_sql(0)
+SQL["spam_train_shuffled"] = _minibatch_sql(SEED)
+SQL["spam_train_groups"] = _minibatch_sql(0, f"'m' || (doc_id % {len(MODELS)})")
+SQL["labels_in_random_order"] = f"""
+SELECT doc_id, quality, ('0x' || substr(md5('{SEED}:' || doc_id), 1, 8))::BIGINT AS position FROM labels"""
+
 SQL["confusion"] = f"""WITH {FEATURES}
 SELECT count(*) FILTER (label = 'ham') AS hams, count(*) FILTER (label = 'spam') AS spams,
     count(*) FILTER (label = 'ham' AND predicted = 'spam') AS fp,
@@ -383,7 +416,7 @@ SQL["region_sliding"] = SQL["stream_region_sliding"] = _counts_sql(6, 2)
 SQL["arrivals_history"] = f"""WITH {_arrivals_sql(1, 1)}
 SELECT region, window_start, window_end, count, previous FROM shown"""
 
-SQL["trending"] = SQL["stream_trending"] = f"""WITH {_arrivals_sql(6, 6)}
+SQL["trending"] = SQL["stream_trending"] = SQL["stream_trending_partitioned"] = f"""WITH {_arrivals_sql(6, 6)}
 SELECT region, window_start, window_end, count, previous,
     format('Number of arrivals to {{}} has doubled from {{}} to {{}} at {{}}!', region, previous, count, end_ms) AS message
 FROM shown WHERE count >= {MIN_ARRIVALS} AND count >= {GROWTH} * previous"""

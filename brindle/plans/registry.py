@@ -131,7 +131,7 @@ def pricing_from_pipe_text(t: Tables) -> DataFrame:
 
 
 def _documents(t: Tables) -> DataFrame:
-    return readers.spread(t.documents.select("doc_id", "text"), "doc_id")
+    return t.documents.select("doc_id", "text")
 
 
 def _lines(t: Tables) -> DataFrame:
@@ -164,6 +164,14 @@ def bigram_freq_pairs(t: Tables) -> DataFrame:
     return cooccurrence.bigram_frequency_pairs(_lines(t)).withColumn("value", F.round("value", 9))
 
 
+@query
+def bigram_text_sink(t: Tables) -> DataFrame:
+    """Bigram counts written as pair text and read back line by line."""
+    path = work_path(t.spark, "bigram-text")
+    sinks.write_pairs_text(cooccurrence.bigram_counts(_lines(t)), path, ["w1", "w2"], ["n"])
+    return readers.text_lines(t.spark, path)
+
+
 @query
 def bigram_freq_stripes(t: Tables) -> DataFrame:
     return _stripe_text(cooccurrence.bigram_frequency_stripes(_lines(t)), _scaled)
@@ -175,18 +183,18 @@ def _rounded_pmi(pairs: DataFrame) -> DataFrame:
 
 @query
 def pmi_pairs(t: Tables) -> DataFrame:
-    return _rounded_pmi(cooccurrence.pmi_pairs(_lines(t)))
+    return _rounded_pmi(cooccurrence.pmi_pairs(_lines(t), ["doc_id", "line_no"]))
 
 
 @query
 def pmi_pairs_pruned(t: Tables) -> DataFrame:
-    return _rounded_pmi(cooccurrence.pmi_pairs_pruned(_lines(t), ["doc_id", "line_no"]))
+    return _rounded_pmi(cooccurrence.pmi_pairs(_lines(t), ["doc_id", "line_no"]))
 
 
 @query
 def pmi_stripes(t: Tables) -> DataFrame:
     return _stripe_text(
-        cooccurrence.pmi_stripes(_lines(t)),
+        cooccurrence.pmi_stripes(_lines(t), ["doc_id", "line_no"]),
         lambda v: F.concat(_scaled(v["pmi"]), F.lit("/"), v["n"].cast("string")),
     )
 
@@ -214,7 +222,7 @@ def index_postings(t: Tables) -> DataFrame:
 
 def _stored_index(t: Tables) -> DataFrame:
     path = work_path(t.spark, "index")
-    sinks.write_index(_index(t), path, partitions=t.spark.sparkContext.defaultParallelism)
+    sinks.write_index(_index(t), path, partitions=int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     return sinks.read_index(t.spark, path)
 
 
@@ -247,17 +255,17 @@ def term_df(t: Tables) -> DataFrame:
 
 @query
 def boolean_and(t: Tables) -> DataFrame:
-    return index.boolean_search(_index(t), AND_QUERY)
+    return index.boolean_search(_stored_index(t), AND_QUERY)
 
 
 @query
 def boolean_or(t: Tables) -> DataFrame:
-    return index.boolean_search(_index(t), OR_QUERY)
+    return index.boolean_search(_stored_index(t), OR_QUERY)
 
 
 @query
 def boolean_nested(t: Tables) -> DataFrame:
-    return index.boolean_search(_index(t), NESTED_QUERY)
+    return index.boolean_search(_stored_index(t), NESTED_QUERY)
 
 
 @query
@@ -279,7 +287,7 @@ def boolean_batch(t: Tables) -> DataFrame:
 
 @query
 def retrieval_snippets(t: Tables) -> DataFrame:
-    return index.with_snippets(index.boolean_search(_index(t), NESTED_QUERY), t.documents)
+    return index.with_snippets(index.boolean_search(_stored_index(t), NESTED_QUERY), t.documents)
 
 
 # Graph -----------------------------------------------------------------------------------------
@@ -316,12 +324,21 @@ def graph_stats(t: Tables) -> DataFrame:
     return pagerank.graph_stats(_graph(t))
 
 
+@query
+def graph_from_adjacency_text(t: Tables) -> DataFrame:
+    """The graph written as adjacency text, a line for every node, read back and built from it."""
+    path = work_path(t.spark, "adjacency")
+    lists = _edges(t).groupBy(F.col("src").alias("id")).agg(F.collect_list(F.col("dst").cast("string")).alias("to"))
+    fields = F.concat_ws(" ", F.col("id").cast("string"), "to")
+    _nodes(t).join(lists, "id", "left").select(fields.alias("value")).write.text(path)
+    nodes, edges = pagerank.edges_from_adjacency(readers.adjacency_lists(t.spark, path))
+    return pagerank.graph_stats(pagerank.build_graph(nodes, edges, SOURCES))
+
+
 @query
 def graph_dangling(t: Tables) -> DataFrame:
-    """The edges that repair dangling nodes."""
-    graph = _graph(t)
-    dangling = graph.nodes.where(F.col("degree") == 0).select(F.col("id").alias("src"))
-    return pagerank.repaired_edges(graph).join(dangling, "src", "left_semi")
+    """The dangling nodes and how many edges repair each."""
+    return pagerank.dangling_nodes(_graph(t))
 
 
 @query
@@ -422,6 +439,16 @@ def spam_average(t: Tables) -> DataFrame:
     return _rounded_score(classify.apply_ensemble(_instances(t), _model(t), MODELS, "average"))
 
 
+@query
+def ensemble_from_text(t: Tables) -> DataFrame:
+    """As ``spam_average``, by models written in their text form and read back."""
+    paths = {m: work_path(t.spark, f"model-{m}") for m in MODELS}
+    for m, path in paths.items():
+        sinks.write_model_text(_model(t).where(F.col("model_id") == m), path)
+    models = readers.ensemble_model_text(t.spark, paths)
+    return _rounded_score(classify.apply_ensemble(_instances(t), models, MODELS, "average"))
+
+
 @query
 def spam_vote(t: Tables) -> DataFrame:
     return classify.apply_ensemble(_instances(t), _model(t), MODELS, "vote")
@@ -444,19 +471,25 @@ def _numbered(t: Tables, model_id: Column) -> DataFrame:
 
 @query
 def spam_train_sgd(t: Tables) -> DataFrame:
-    return _rounded_weights(training.train_sgd(_numbered(t, F.lit("all"))))
+    return _rounded_weights(training.train_minibatch(_numbered(t, F.lit("all"))))
 
 
 @query
 def spam_train_shuffled(t: Tables) -> DataFrame:
-    return _rounded_weights(training.train_sgd(_numbered(t, F.lit("all")), shuffle_seed=SEED))
+    return _rounded_weights(training.train_minibatch(_numbered(t, F.lit("all")), seed=SEED))
+
+
+@query
+def labels_in_random_order(t: Tables) -> DataFrame:
+    """The labelled documents in the seeded order; the position makes the order visible in an unordered comparison."""
+    return training.in_random_order(t.labels.select("doc_id", "quality"), "doc_id", SEED)
 
 
 @query
 def spam_train_groups(t: Tables) -> DataFrame:
     """Three models in one job; every labelled document belongs to one of them."""
     group = F.concat(F.lit("m"), (F.col("doc_id").cast("bigint") % len(MODELS)).cast("string"))
-    return _rounded_weights(training.train_sgd(_numbered(t, group)))
+    return _rounded_weights(training.train_minibatch(_numbered(t, group)))
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -541,7 +574,11 @@ def trending(t: Tables) -> DataFrame:
 
 
 def _replayed(
-    t: Tables, length_hours: int, slide_hours: int, build: Callable[[DataFrame, str], DataFrame]
+    t: Tables,
+    length_hours: int,
+    slide_hours: int,
+    build: Callable[[DataFrame, str], DataFrame],
+    partition_by: list[str] | None = None,
 ) -> DataFrame:
     """Replay the events as ordered files, run a stream over them to the end, return what it wrote.
 
@@ -560,9 +597,10 @@ def _replayed(
     write_in_order(events, folder, slices, closing)
     source = readers.ordered_file_stream(spark, folder, "x double, y double, ts timestamp")
     with streams.stream_settings(spark):
-        running = sinks.stream_to_parquet(build(source, f"{delay} seconds"), out, log)
+        results = build(source, f"{delay} seconds")
+        running = sinks.stream_to_parquet(results, out, log, partition_by)
     running.awaitTermination()
-    return _text_times(spark.read.parquet(out))
+    return _text_times(spark.read.schema(results.schema).parquet(out))
 
 
 @query
@@ -585,3 +623,15 @@ def stream_trending(t: Tables) -> DataFrame:
         6,
         lambda events, delay: arrivals.alerts(streams.arrivals_stream(events, BOXES, "6 hours", delay=delay), BOXES),
     )
+
+
+@query
+def stream_trending_partitioned(t: Tables) -> DataFrame:
+    """As ``stream_trending``, with an output folder per window."""
+    return _replayed(
+        t,
+        6,
+        6,
+        lambda events, delay: arrivals.alerts(streams.arrivals_stream(events, BOXES, "6 hours", delay=delay), BOXES),
+        ["window_start"],
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "brindle", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,8 +31,8 @@ def build_session(app_name: str = "brindle", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a temporary folder is used in local mode only; a cluster has to
-    name a shared folder, because a machine-local one is lost with its machine.
+    Where the setting is missing, a single process (``local[n]``) takes a temporary folder of its own; anything
+    else has to name a shared folder, because a machine-local one is lost with its machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -49,3 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a derived table, a stream sink or a stream log."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """The rows written once below the shared folder and read back, for what is read several times."""
+    path = work_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from brindle.functions.text import split_fields, split_lines
 from brindle.sources.schemas import TABLES
 
-SPREAD_SPLITS = 64
-
 # Field positions in a trip record (taxi type first; drop-off point by layout).
 GREEN_POINT = (8, 9)
 OTHER_POINT = (10, 11)
@@ -32,33 +30,25 @@ def parquet_table(spark: SparkSession, folder: str, name: str, suffix: str = ".p
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}{suffix}")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hand the rows of a small table to all cores by ``keys``.
-
-    Meant for few files or row groups in front of work that costs much per row.  A table with a split
-    for every core, or with more than ``SPREAD_SPLITS`` splits, passes through unchanged, so a large
-    table is never shuffled by this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores, *keys) if splits < cores and splits <= SPREAD_SPLITS else df
-
-
-def pipe_table(spark: SparkSession, path: str, name: str, schema: str | None = None) -> DataFrame:
+def pipe_table(
+    spark: SparkSession, path: str, name: str, schema: str | None = None, trailing: bool = False
+) -> DataFrame:
     """A '|'-delimited table with its declared schema (or another one given as DDL).
 
-    A trailing delimiter makes one field more than the schema has; it is dropped.  Fields are trimmed;
-    one that does not fit its declared type becomes NULL.
+    ``trailing`` says that lines end in a delimiter, which makes one field more than the schema has.  Fields are
+    trimmed.  A line with another number of fields, or a field that does not fit its declared type, fails the job.
     """
-    return spark.read.csv(
+    schema = schema or TABLES[name]
+    rows = spark.read.csv(
         path,
         sep="|",
-        schema=schema or TABLES[name],
-        mode="PERMISSIVE",
+        schema=f"{schema}, _trailing string" if trailing else schema,
+        mode="FAILFAST",
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
         quote="",
     )
+    return rows.drop("_trailing")
 
 
 def adjacency_lists(spark: SparkSession, path: str) -> DataFrame:

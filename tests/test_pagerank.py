@@ -47,11 +47,11 @@ def close(got, expected):
 
 
 @pytest.mark.parametrize("shard_edges", [pr.SHARD_EDGES, 10])
-@pytest.mark.parametrize("edges_per_bucket", [None, 1, pr.EDGES_PER_BUCKET])
-def test_ranks(spark, shard_edges, edges_per_bucket):
+@pytest.mark.parametrize("buckets", [None, 1, 5])
+def test_ranks(spark, shard_edges, buckets):
     adjacency, sources = hub_graph(), [5, 9, 9, 20]
     graph = graph_of(spark, adjacency, sources, shard_edges=shard_edges)
-    graph = pr.materialize(graph, edges_per_bucket) if edges_per_bucket else graph
+    graph = pr.materialize(graph, buckets) if buckets else graph
     ranks = pr.iterate(graph, 4)
     close(dict(rows(ranks, "id", "rank")), brute(adjacency, sources, 4))
     assert abs(ranks.agg(F.sum("rank")).first()[0] - 1) < 1e-12
@@ -90,9 +90,17 @@ def test_top_ranks_break_ties_by_id(spark):
 
 def test_duplicate_node_record_fails(spark):
     table = spark.createDataFrame([(1, [2]), (1, [3])], "id bigint, neighbours array<bigint>")
-    nodes, _ = pr.edges_from_adjacency(table)
     with pytest.raises(Exception, match="several node records"):
-        nodes.collect()
+        pr.build_graph(*pr.edges_from_adjacency(table), [1])
+
+
+def test_edges_without_node_record_are_left_out(spark):
+    nodes = spark.createDataFrame([(1,), (2,)], "id bigint")
+    edges = spark.createDataFrame([(1, 2), (7, 1), (7, 8)], "src bigint, dst bigint")
+    graph = pr.build_graph(nodes, edges, [1])
+    assert rows(graph.edges, "src", "dst") == [(1, 2)]
+    assert rows(pr.dangling_nodes(graph)) == [(2, 1)]
+    assert pr.iteration_stats(graph, pr.iterate(graph, 1)).first().missing == 0
 
 
 def test_no_source_is_an_error(spark):
@@ -107,7 +115,7 @@ def test_adjacency_text(spark, tmp_path):
 
 
 def test_stored_edges_are_not_shuffled(spark):
-    graph = pr.materialize(graph_of(spark, hub_graph(), [1]), edges_per_bucket=1)
+    graph = pr.materialize(graph_of(spark, hub_graph(), [1]))
     text = plan(pr.step(graph, pr.initial_ranks(graph).checkpoint()), "simple")
     scans = [line for line in text.splitlines() if "FileScan parquet" in line]
     assert len(scans) == 2 and all("Bucketed: true" in line for line in scans)

@@ -13,7 +13,6 @@ from brindle.sources import readers, sinks
 FOLDER = "/root/testdata/sf0.001"
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark
 labels conversations""".split()
-PYTHON = {"spam_train_sgd", "spam_train_shuffled", "spam_train_groups"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
@@ -38,8 +37,8 @@ def test_query_equals_its_sql(spark, database, name):
     assert sorted((tuple(r) for r in frame.select(*columns).collect()), key=key) == expected
 
 
-def test_only_sequential_training_lacks_sql():
-    assert set(registry.QUERIES) - set(oracle.SQL) == PYTHON
+def test_every_query_has_sql():
+    assert set(registry.QUERIES) == set(oracle.SQL)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -47,7 +46,7 @@ def test_only_sequential_training_lacks_sql():
 def test_plans_have_no_cross_join_and_no_needless_python(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER), "simple")
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
-    assert ("Python" in text or "InPandas" in text) == (name in PYTHON)
+    assert "Python" not in text and "InPandas" not in text
 
 
 def test_entry(spark):

@@ -42,7 +42,7 @@ def folder(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def text(spark, folder):
-    return {name: readers.pipe_table(spark, str(folder / f"{name}.tbl"), name) for name in schemas.TABLES}
+    return {name: readers.pipe_table(spark, str(folder / f"{name}.tbl"), name, trailing=True) for name in schemas.TABLES}
 
 
 @pytest.fixture(scope="module")
