@@ -43,8 +43,9 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        # Special tokens' strings in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        # The library finds added tokens' strings before it splits; a text with one is not cut either.
+        added = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([UNEVEN.pattern, *added]))
         self._forget()
 
     def _forget(self) -> None:
@@ -62,8 +63,8 @@ class ChunkEncoder:
         """Ids of all texts one after the other, each with the end id, and their numbers."""
         if len(self.slots) > REMEMBERED:
             self._forget()
-        # A text with uneven white space is one chunk; otherwise every chunk but the first has its blank.
-        cut = [[t] if UNEVEN.search(t) else t.split(" ") for t in texts]
+        # A text with uneven white space or an added token is one chunk; otherwise every chunk but the first has its blank.
+        cut = [[t] if self.whole.search(t) else t.split(" ") for t in texts]
         sizes = np.array([len(c) for c in cut])
         first = np.zeros(int(sizes.sum()), dtype=bool)
         first[np.cumsum(sizes) - sizes] = True
