@@ -73,10 +73,12 @@ def learned_stems(texts: DataFrame) -> tuple[list[str], list[str]]:
     )
 
 
-def features(documents: DataFrame, stems: tuple[list[str], list[str]], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, one double per name in FEATURES); stems are letters only."""
-    rows = documents.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")).select(
-        "doc_id", "text", F.lower("text").alias("low"), F.greatest(F.size(words(F.col("text"))), F.lit(1)).cast("double").alias("n")
+def features(
+    documents: DataFrame, stems: tuple[list[str], list[str]], doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, the columns in ``keep``, one double per name in FEATURES); stems are letters only."""
+    rows = documents.select(F.col(doc_id).alias("doc_id"), *keep, text_of(text).alias("text")).select(
+        "doc_id", *keep, "text", F.lower("text").alias("low"), F.greatest(F.size(words(F.col("text"))), F.lit(1)).cast("double").alias("n")
     )
     count = lambda column, pattern: F.regexp_count(column, F.lit(pattern)).cast("double")
     insult, person = _any_of(LEXICON), _any_of(SECOND_PERSON)
@@ -110,20 +112,21 @@ def features(documents: DataFrame, stems: tuple[list[str], list[str]], doc_id: s
         "punctuation": count("text", r"\p{Punct}") / size,
         "length": F.log1p("n"),
     }
-    return rows.select("doc_id", *[values[name].cast("double").alias(name) for name in FEATURES])
+    return rows.select("doc_id", *keep, *[values[name].cast("double").alias(name) for name in FEATURES])
 
 
 def scored(
-    documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"
+    documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, held_out, score, predicted); rows of fold 0 are held out of all fitting."""
+    """(doc_id, the columns in ``keep``, held_out, score, predicted); rows of fold 0 are held out of all fitting."""
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col("doc_id")).agg(F.max(label).cast("double").alias("label"))
     known = known.withColumn("fold", fold(F.col("doc_id"))).where("fold <> 0")
     sample = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows), "toxicity-sample")
     small = F.broadcast(sample)  # at most MAX_ROWS rows of an id, a label and a fold
     texts = documents.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     stems = learned_stems(texts.join(small.where(F.col("fold").isin(*LEXICON_FOLDS)), "doc_id").select("text", "label"))
-    rows = stored(features(documents, stems, doc_id, text), "toxicity-features")
+    rows = stored(features(documents, stems, doc_id, text, keep), "toxicity-features")
     training = stored(rows.join(small, "doc_id"), "toxicity-training")
     counts = {r.fold: (r.n, r.ones) for r in training.groupBy("fold").agg(F.count("*").alias("n"), F.sum("label").alias("ones")).collect()}
     n, ones = (sum(c[i] for c in counts.values()) for i in (0, 1))
@@ -131,7 +134,7 @@ def scored(
     held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
     if not both((n, ones)):
         score = F.lit(float(ones / n) if n else 0.0)
-        return rows.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+        return rows.select("doc_id", *keep, held_out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
     # A fold without rows of both classes is replaced by all of them.
     of_trees, of_steps = (
         training.where(F.col("fold") == f) if both(counts.get(f, (0, 0))) else training for f in (TREE_FOLD, CALIBRATION_FOLD)
@@ -147,4 +150,4 @@ def scored(
 
     steps = IsotonicRegression(featuresCol="margin", labelCol="label").fit(margins(of_steps).select("margin", "label"))
     out = steps.transform(margins(rows)).withColumn("score", F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0)))
-    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", *keep, held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
