@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import decontaminate, kneser_ney, lines, near_dups, pieces, quality, secrets, token_counts, tokens, toxicity
+from brindle.llm import align, decontaminate, kneser_ney, lines, near_dups, phrases, pieces, quality, secrets, simhash, token_counts, tokens, toxicity
 from brindle.llm._common import stored
 from brindle.session import work_path
 from brindle.sources.readers import parquet_table
@@ -97,6 +97,22 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.summary(decontaminate.contamination(documents, benchmark))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    with open(BYTE_BPE, encoding="utf-8") as file:
+        tokenizer = file.read()
+    with open(PIECE_MODEL, "rb") as file:
+        model = file.read()
+    return align.scored(parquet_table(spark, folder, "documents"), tokenizer, model)
+
+
+def op12_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(parquet_table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(parquet_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -110,6 +126,9 @@ QUERIES: dict[str, Query] = {
         op8_sentencepiece,
         op9_line_dedup,
         op10_decontamination,
+        op11_token_alignment,
+        op12_simhash_near_dedup,
+        op13_collocations,
     )
 }
 SQL: dict[str, str] = {}
@@ -132,3 +151,31 @@ b AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_re
         + CASE WHEN 2 * word_chars < 5 * n_words THEN 16 ELSE 0 END
         + CASE WHEN word_chars > 15 * n_words THEN 32 ELSE 0 END)::BIGINT AS fail_bits FROM m)
 SELECT *, fail_bits = 0 AS kept, 'v1' AS policy, fail_bits & 3 <> 0 AS base_failed FROM b"""
+
+SQL["op13_collocations"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT r, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+q AS (SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+x AS (SELECT r, lang, unnest(w) AS a, generate_subscripts(w, 1) AS k FROM q),
+y AS (SELECT lang, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM x WINDOW o AS (PARTITION BY r ORDER BY k)),
+n AS (SELECT lang, count(*) AS n FROM x GROUP BY lang),
+f1 AS (SELECT lang, a, count(*) AS f FROM y GROUP BY ALL),
+f2 AS (SELECT lang, a, b, count(*) AS f FROM y WHERE b IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, a, b, c, count(*) AS f FROM y WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+m AS (SELECT lang, a, b, max(f) AS longest FROM
+        (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3) GROUP BY lang, a, b),
+cuts AS (
+    SELECT f2.lang, a || ' ' || b AS phrase, 1 AS k, f2.f AS a, l.f AS l, r.f AS r
+    FROM f2 JOIN f1 AS l USING (lang, a) JOIN f1 AS r ON r.lang = f2.lang AND r.a = f2.b LEFT JOIN m USING (lang, a, b)
+    WHERE f2.f >= 10 AND (longest IS NULL OR 100 * longest < 50 * f2.f)
+    UNION ALL
+    SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, 1, f3.f, l.f, r.f
+    FROM f3 JOIN f1 AS l ON l.lang = f3.lang AND l.a = f3.a JOIN f2 AS r ON r.lang = f3.lang AND r.a = f3.b AND r.b = f3.c
+    UNION ALL
+    SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, 2, f3.f, l.f, r.f
+    FROM f3 JOIN f2 AS l ON l.lang = f3.lang AND l.a = f3.a AND l.b = f3.b JOIN f1 AS r ON r.lang = f3.lang AND r.a = f3.c),
+s AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM s),
+u AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM t WHERE cut = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM u JOIN n USING (lang) WHERE rank <= 2000"""
