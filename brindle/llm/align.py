@@ -21,11 +21,13 @@ Very long texts are aligned chunk by chunk; a chunk without a space is aligned a
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,10 @@ from pyspark.sql import functions as F
 from brindle.llm._common import stored
 
 FREQUENT = 100_000
-#: Bytes of chunks that a worker remembers, and bytes of text that are aligned at once.
-REMEMBERED = 40_000_000
+#: Bytes of chunks that a worker remembers, bytes of text that are aligned and chunks that are learned at once.
+REMEMBERED = 96_000_000
 AT_ONCE = 2_000_000
+LEARNED = 1_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
 UNEVEN = re.compile(r"\s | \s|^ | $")
 SPACE = "▁"
@@ -51,18 +54,16 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-def token_ends(spans: list[tuple[int, int]], sizes: list[int], byte_at: list[int] | None) -> list[int]:
-    """Byte ends of tokens from character spans; ``sizes`` are the decoded bytes, ``byte_at`` is None for ASCII."""
-    ends = []
-    at = 0
-    last = len(spans) - 1
-    for k, (begin, end) in enumerate(spans):
-        if begin >= end or (k < last and spans[k + 1][0] < end):
-            at += sizes[k]
-        else:
-            at = byte_at[end] if byte_at else end
-        ends.append(at)
-    return ends
+def token_ends(begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray, byte_at: np.ndarray) -> np.ndarray:
+    """Byte ends of consecutive tokens from their character spans; ``sizes`` are the decoded bytes."""
+    within = (begins >= ends) | np.r_[begins[1:] < ends[:-1], False]
+    coarse = byte_at[ends]
+    # Behind the last token whose span says it all, the decoded bytes are counted.
+    places = np.where(within, -1, np.arange(len(ends)))
+    last = np.maximum.accumulate(places)
+    total = np.cumsum(sizes)
+    known = np.where(last >= 0, coarse[last], 0)
+    return known + total - np.where(last >= 0, total[last], 0)
 
 
 class Aligner:
@@ -83,6 +84,10 @@ class Aligner:
         if any(SPACE in p.lstrip(SPACE) for _, p in pieces):
             raise ValueError("the model has pieces across white space")
         self.b_bytes = {i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in pieces}
+        self.a_sizes, self.b_sizes = (np.array([len(t.get(i, b"")) for i in range(max(t) + 1)]) for t in (self.a_bytes, self.b_bytes))
+        # Ids as text with the marks that may follow them, by 3 * id + mark.
+        self.marked = [f"{i}{mark}" for i in range(max(len(self.a_sizes), len(self.b_sizes))) for mark in ",|;"]
+        self.marked_sizes = np.array(list(map(len, self.marked)))
         self._forget()
 
     def _forget(self) -> None:
@@ -94,54 +99,71 @@ class Aligner:
         self.starts = array("q", [0])
         self.bytes = 0
 
-    def _align(self, chunk: str, a_ids: list[int], a_spans: list, b_ids: list[int], b_spans: list) -> None:
-        text = " " + chunk
+    def _learn(self, chunks: list[str]) -> None:
+        """Align chunks as one text; several of them must neither start nor end with white space."""
+        text = "".join(" " + chunk for chunk in chunks)
         raw = text.encode()
-        a_own, b_own = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_own) != raw or b"".join(b_own) != raw:
-            self.digests.append("")
-            self.numbers.extend((0, 0, 0, 0))
-            self.starts.append(len(self.pairs))
+        found_a = self.a.encode(text, add_special_tokens=False)
+        found_b = self.b.encode(text[1:], return_type="offset_mapping")
+        ids = (found_a.ids, found_b["ids"])
+        if any(b"".join(map(table.__getitem__, own)) != raw for table, own in zip((self.a_bytes, self.b_bytes), ids)):
+            if len(chunks) > 1:
+                half = len(chunks) // 2
+                self._learn(chunks[:half])
+                self._learn(chunks[half:])
+            else:
+                self._remember(chunks, [""], np.zeros((1, 4), dtype=np.int64))
             return
-        byte_at = None
-        if len(raw) != len(text):
-            byte_at = np.r_[0, np.cumsum([len(c.encode()) for c in text])].tolist()
-        a_ends = token_ends(a_spans, list(map(len, a_own)), byte_at)
+        codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        byte_at = np.r_[0, np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))]
+        flat = [np.array(own, dtype=np.int64) for own in ids]
         # B's spans do not count the space before the text.
-        b_ends = token_ends([(begin + 1, end + 1) for begin, end in b_spans], list(map(len, b_own)), byte_at)
-        groups = [[[], []]]
-        i = j = 0
-        while i < len(a_ids):
-            self.pairs.append(a_ids[i] << 32 | b_ids[j])
-            a_end, b_end = a_ends[i], b_ends[j]
-            if a_end <= b_end:
-                groups[-1][0].append(str(a_ids[i]))
-                i += 1
-            if b_end <= a_end:
-                groups[-1][1].append(str(b_ids[j]))
-                j += 1
-            if a_end == b_end and i < len(a_ids):
-                groups.append([[], []])
-        self.digests.append(";".join(f"{','.join(a)}|{','.join(b)}" for a, b in groups))
-        self.numbers.extend((len(a_ids), len(b_ids), len(groups), len(self.pairs) - self.starts[-1]))
-        self.starts.append(len(self.pairs))
-
-    def _learn(self, chunks: list[str]) -> None:
-        a = self.a.encode_batch([" " + chunk for chunk in chunks], add_special_tokens=False)
-        for chunk, own in zip(chunks, a):
-            other = self.b.encode(chunk, return_type="offset_mapping")
-            self._align(chunk, own.ids, own.offsets, other["ids"], other["offsets"])
-            self.slots[chunk] = len(self.slots)
-            self.bytes += 200 + len(chunk) + len(self.digests[-1])
+        spans = [np.array(own, dtype=np.int64) for own in (found_a.offsets, found_b["offsets"])]
+        spans[1] += 1
+        ends = [token_ends(*own.T, table[i], byte_at) for own, i, table in zip(spans, flat, (self.a_sizes, self.b_sizes))]
+        # Every place where a token ends closes one link: that of the tokens of A and B that reach it.
+        places = np.union1d(*ends)
+        linked = flat[0][np.searchsorted(ends[0], places)] << 32 | flat[1][np.searchsorted(ends[1], places)]
+        cuts = np.intersect1d(*ends, assume_unique=True)
+        groups = [np.searchsorted(cuts, e) for e in ends]
+        # Ids as text, A's before B's in a group, each with the mark that follows it.
+        order = np.argsort(np.concatenate([2 * groups[0], 2 * groups[1] + 1]), kind="stable")
+        side = np.repeat([0, 1], [len(g) for g in groups])[order]
+        group = np.concatenate(groups)[order]
+        closes = np.r_[(group[1:] != group[:-1]) | (side[1:] != side[:-1]), True]
+        marked = 3 * np.concatenate(flat)[order] + np.where(closes, 1 + side, 0)
+        written = "".join(map(self.marked.__getitem__, marked.tolist()))
+        # Places before which a chunk's tokens, groups and links end.
+        until = byte_at[np.cumsum([1 + len(chunk) for chunk in chunks])]
+        totals = np.stack([np.searchsorted(own, until, side="right") for own in (*ends, cuts, places)]).T
+        last = np.cumsum(self.marked_sizes[marked])[totals[:, 0] + totals[:, 1] - 1].tolist()
+        digests = [written[first : end - 1] for first, end in zip([0, *last], last)]
+        self.pairs.frombytes(linked.tobytes())
+        self._remember(chunks, digests, np.diff(totals, axis=0, prepend=0))
+
+    def _remember(self, chunks: list[str], digests: list[str], numbers: np.ndarray) -> None:
+        self.slots.update(zip(chunks, count(len(self.slots))))
+        self.starts.frombytes((self.starts[-1] + np.cumsum(numbers[:, 3])).tobytes())
+        self.digests += digests
+        self.numbers.frombytes(numbers.tobytes())
+        self.bytes += 250 * len(chunks) + sum(map(len, chunks)) + sum(map(len, digests)) + 8 * int(numbers[:, 3].sum())
 
     def align(self, texts: list[str]) -> Iterator[tuple[tuple[int, ...], str, np.ndarray, np.ndarray]]:
         """Per text: (tokens of A, of B, groups, links), digest, distinct id pairs (A's id above 32 bits) and their links."""
-        if self.bytes + 8 * len(self.pairs) > REMEMBERED:
+        if self.bytes > REMEMBERED:
             self._forget()
         cut = [(CUT.split(t) if UNEVEN.search(t) else t.split(" ")) if t else [] for t in texts]
-        fresh = list(dict.fromkeys(c for chunks in cut for c in chunks if c not in self.slots))
-        for at in range(0, len(fresh), 5_000):
-            self._learn(fresh[at : at + 5_000])
+        fresh = dict.fromkeys(c for chunks in cut for c in chunks if c not in self.slots)
+        even = [c for c in fresh if not (c[0].isspace() or c[-1].isspace())]
+        # The libraries' results are many small lists without cycles, which the collector would visit again and again.
+        collecting = gc.isenabled()
+        gc.disable()
+        for at in range(0, len(even), LEARNED):
+            self._learn(even[at : at + LEARNED])
+        for chunk in fresh.keys() - set(even):
+            self._learn([chunk])
+        if collecting:
+            gc.enable()
         numbers = np.frombuffer(self.numbers, dtype=np.int64).reshape(-1, 4)
         pairs, starts = (np.frombuffer(x, dtype=np.int64) for x in (self.pairs, self.starts))
         for chunks in cut:
