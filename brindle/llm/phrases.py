@@ -303,9 +303,10 @@ def _merged(runs: list[tuple[bytes, bytes, int]], least: int) -> tuple[list[byte
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
-    listed = [unpack(words).split(b" ") for words, _, _ in runs]
-    coded = pa.array([w for words in listed for w in words], pa.large_binary()).dictionary_encode()
-    numbers = np.split(coded.indices.to_numpy().astype(np.int64) + 1, np.cumsum([len(words) for words in listed])[:-1])
+    listed = pc.split_pattern(pa.array([unpack(words) for words, _, _ in runs], pa.large_binary()), " ")
+    coded = listed.flatten().dictionary_encode()
+    numbers = np.split(coded.indices.to_numpy().astype(np.int64) + 1, listed.offsets.to_numpy()[1:-1])
+    del listed
     # Three numbers fit one key, or two where a partition has too many words.
     wide = len(coded.dictionary) > MASK
     keys, more, counts = [], [], []
@@ -327,7 +328,8 @@ def _merged(runs: list[tuple[bytes, bytes, int]], least: int) -> tuple[list[byte
     at = order[starts[kept]]
     own = keys[at]
     first = np.stack([own >> 32, own & 0xFFFFFFFF, more[at]] if wide else [own >> (2 * BITS), (own >> BITS) & MASK, own & MASK])
-    names = [b"", *coded.dictionary.to_pylist()]
+    used = np.unique(first[first > 0])
+    names = dict(zip(used.tolist(), coded.dictionary.take(pa.array(used - 1)).to_pylist()))
     phrases = [b" ".join(names[i] for i in row if i) for row in first.T.tolist()]
     return phrases, (first > 0).sum(axis=0), counts[kept]
 
@@ -347,7 +349,8 @@ def frequent_sequences(runs: DataFrame, least: int = LEAST) -> DataFrame:
                 names=["lang", "phrase", "size", "n"],
             )
 
-    together = rows.repartition(parts, "part").sortWithinPartitions("part", "lang")
+    # By range, because a hash of so few numbers would send several of them to one task.
+    together = rows.repartitionByRange(parts, "part").sortWithinPartitions("part", "lang")
     return together.mapInArrow(run, "lang string, phrase string, size int, n bigint")
 
 
