@@ -39,7 +39,7 @@ from brindle.llm._common import stored
 
 FREQUENT = 100_000
 #: Bytes of chunks that a worker remembers, bytes of text that are aligned and chunks that are learned at once.
-REMEMBERED = 96_000_000
+REMEMBERED = 160_000_000
 AT_ONCE = 2_000_000
 LEARNED = 1_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -122,9 +122,10 @@ class Aligner:
         spans[1] += 1
         ends = [token_ends(*own.T, table[i], byte_at) for own, i, table in zip(spans, flat, (self.a_sizes, self.b_sizes))]
         # Every place where a token ends closes one link: that of the tokens of A and B that reach it.
-        places = np.union1d(*ends)
+        merged = np.sort(np.concatenate(ends), kind="stable")
+        both = merged[1:] == merged[:-1]
+        places, cuts = merged[np.r_[True, ~both]], merged[1:][both]
         linked = flat[0][np.searchsorted(ends[0], places)] << 32 | flat[1][np.searchsorted(ends[1], places)]
-        cuts = np.intersect1d(*ends, assume_unique=True)
         groups = [np.searchsorted(cuts, e) for e in ends]
         # Ids as text, A's before B's in a group, each with the mark that follows it.
         order = np.argsort(np.concatenate([2 * groups[0], 2 * groups[1] + 1]), kind="stable")
