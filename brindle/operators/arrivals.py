@@ -5,6 +5,7 @@ Events are (x, y, ts, ...).  The same window and region expressions serve the st
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,8 @@ MIN_ARRIVALS = 10
 GROWTH = 2
 HOURLY = "60 minutes"
 TEN_MINUTES = "10 minutes"
+#: Rows that a list of windows may hold.
+PAGE = 10_000
 ALERT_TEXT = "Number of arrivals to %s has doubled from %d to %d at %d!"
 
 
@@ -47,8 +50,24 @@ def region_of(boxes: list[Box], x: str = "x", y: str = "y") -> Column:
     return region
 
 
-def _interval(text: str) -> Column:
-    return F.expr(f"INTERVAL '{text.split()[0]}' {text.split()[1].rstrip('s').upper()}")
+def milliseconds(text: str) -> int:
+    """Length of an interval such as ``10 minutes``."""
+    number, unit = text.split()
+    return int(number) * {"second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit.rstrip("s")]
+
+
+def pane_of(length: str, slide: str) -> str:
+    """The longest stretch of time of which every window and every slide is a whole number."""
+    return f"{math.gcd(milliseconds(length), milliseconds(slide)) // 1000} seconds"
+
+
+def _span(text: str) -> Column:
+    return F.expr(f"INTERVAL '{milliseconds(text) // 1000}' SECOND")
+
+
+def _floor(time: Column | str, step: str) -> Column:
+    """Start of the step, counted from the epoch, that the time lies in."""
+    return F.window(time, step)["start"]
 
 
 def region_counts(
@@ -56,36 +75,61 @@ def region_counts(
 ) -> DataFrame:
     """(region, window_start, window_end, count) for windows of ``length`` every ``slide`` (default: length).
 
-    With ``fill`` a region has a row for every window from its first busy one to the last window the
-    events reach, count 0 included.  The spine of windows grows with the time range only.
+    Every event is counted once, in its pane (``pane_of``).  A pane is added to the running count at the first window
+    that holds it and subtracted behind the last one, so an event is never copied for overlapping windows; between
+    two such changes the count stays as it is.
+
+    With ``fill`` a region has a row for every window from its first busy one to the last window the events reach,
+    count 0 included.  Those rows are opened in pages of at most PAGE windows.  Events without a time are left out.
     """
     slide = slide or length
-    window = F.window("ts", length, slide)
     inside = events.select(region_of(boxes).alias("region"), "ts").where(F.col("region").isNotNull())
-    counts = (
-        inside.groupBy("region", window.alias("window"))
-        .agg(F.count("*").alias("count"))
-        .select("region", F.col("window.start").alias("window_start"), "count")
+    panes = inside.groupBy("region", F.window("ts", pane_of(length, slide)).alias("pane")).agg(F.count("*").alias("n"))
+    panes = panes.select("region", "n", F.col("pane.start").alias("pane"))
+    # Windows start at multiples of the slide: the first one that holds a pane, and the first one behind it that does not.
+    entering = panes.select("*", _floor(F.col("pane") - _span(length), slide).alias("before"))
+    leaving = entering.select("*", _floor("pane", slide).alias("at"))
+    moves = leaving.select("region", "n", (F.col("before") + _span(slide)).alias("enters"), (F.col("at") + _span(slide)).alias("leaves"))
+    changes = moves.where("enters < leaves").select(
+        "region",
+        F.explode(
+            F.array(F.struct(F.col("enters").alias("start"), "n"), F.struct(F.col("leaves").alias("start"), (-F.col("n")).alias("n")))
+        ).alias("change"),
+    )
+    changes = changes.groupBy("region", F.col("change.start").alias("start")).agg(F.sum("change.n").alias("n"))
+    in_order = Window.partitionBy("region").orderBy("start")
+    steady = changes.select(
+        "region",
+        "start",
+        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("count"),
+        F.coalesce(F.lead("start").over(in_order), _last_start(events, slide) + _span(slide)).alias("until"),
     )
-    if fill:
-        counts = _fill_silent(counts, _last_start(events, length, slide), slide)
-    return counts.select(
-        "region", "window_start", (F.col("window_start") + _interval(length)).alias("window_end"), "count"
+    if not fill:
+        steady = steady.where("count > 0")
+    windows = _opened(steady, slide)
+    return windows.select(
+        "region", "window_start", (F.col("window_start") + _span(length)).alias("window_end"), "count"
     )
 
 
-def _last_start(events: DataFrame, length: str, slide: str) -> Column:
+def _last_start(events: DataFrame, slide: str) -> Column:
     """Start of the latest window that the events reach."""
     latest = events.agg(F.max("ts").alias("ts"))
-    return latest.select(F.window("ts", length, slide)["start"].alias("start")).agg(F.max("start")).scalar()
+    return latest.select(_floor("ts", slide).alias("start")).agg(F.max("start")).scalar()
 
 
-def _fill_silent(counts: DataFrame, last: Column, slide: str) -> DataFrame:
-    first = counts.groupBy("region").agg(F.min("window_start").alias("first"))
-    spine = first.select("region", F.explode(F.sequence("first", last, _interval(slide))).alias("window_start"))
-    return spine.join(counts, ["region", "window_start"], "left").select(
-        "region", "window_start", F.coalesce("count", F.lit(0)).alias("count")
+def _opened(steady: DataFrame, slide: str) -> DataFrame:
+    """(region, window_start, count): a row for every slide from ``start`` to before ``until``."""
+    step = milliseconds(slide) // 1000
+    # The difference of two times is the same with and without a time zone.
+    seconds = F.expr("cast(cast(until - start as interval second) as bigint)")
+    pages = steady.withColumn("n", F.floor(seconds / step)).where("n > 0").withColumn(
+        "page", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / PAGE)))
     )
+    rest = F.least(F.lit(PAGE), F.col("n") - F.col("page") * PAGE)
+    rows = pages.withColumn("row", F.explode(F.sequence(F.lit(0), rest - 1))).withColumn("place", F.col("page") * PAGE + F.col("row"))
+    shift = F.make_dt_interval(secs=(F.col("place") * step).cast("decimal(18,6)"))
+    return rows.select("region", (F.col("start") + shift).alias("window_start"), "count")
 
 
 def arrivals_with_previous(

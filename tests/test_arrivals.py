@@ -1,11 +1,13 @@
 """Region counts, silent windows, alerts; streams against their batch forms."""
 
 import datetime as dt
+import math
 import os
 import random
 
+import pandas as pd
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from brindle.operators import arrivals as ar
@@ -162,3 +164,137 @@ def test_stream_settings_are_restored(spark):
 def test_missing_stream_folder_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="does not exist|PATH_NOT_FOUND"):
         readers.ordered_file_stream(spark, str(tmp_path / "nothing"), "x double, y double, ts timestamp")
+
+
+def test_sliding_counts_any_length_and_slide(spark):
+    """Pane sums against a count per window, overlapping, touching and with gaps."""
+    rng = random.Random(8)
+    points = [(rng.choice([0, 1, 2, 400]) + rng.uniform(0, 90), rng.choice([1, 15, 99]), 1) for _ in range(150)]
+    events = events_of(spark, points)
+    last = max(m for m, _, _ in points)
+    for length, slide in [(30, 10), (25, 10), (10, 10), (10, 25), (60, 7), (1, 1), (90, 60)]:
+        epoch = int(START.replace(tzinfo=dt.timezone.utc).timestamp()) // 60
+        first = (epoch - length) // slide * slide - epoch
+        starts = [s for s in range(first, int(last) + 1, slide)]
+        expected = []
+        for region, x in (("a", 1), ("b", 15)):
+            counts = [(s, sum(s <= m < s + length for m, px, _ in points if px == x)) for s in starts]
+            busy = [s for s, n in counts if n]
+            expected += [(region, s, n) for s, n in counts if busy and s >= busy[0] and s <= last]
+        got = shown(ar.region_counts(events, BOXES, f"{length} minutes", f"{slide} minutes"), "count")
+        assert got == sorted(expected), (length, slide)
+        bare = shown(ar.region_counts(events, BOXES, f"{length} minutes", f"{slide} minutes", fill=False), "count")
+        assert bare == [r for r in sorted(expected) if r[2]], (length, slide)
+
+
+def test_an_event_is_counted_once(spark):
+    """No copy of an event per window: the plan expands nothing before the first count."""
+    text = plan(ar.region_counts(events_of(spark, [(1, 1, 1)]), BOXES, "24 hours", "1 minute", fill=False), "simple")
+    below = text[text.rindex("HashAggregate(keys=[region"):]
+    assert "Expand" not in text and "Generate" not in below
+
+
+def test_long_silence_in_a_table(spark):
+    points = [(0, 1, 1), (1_000_000, 1, 1)]
+    counts = ar.region_counts(events_of(spark, points), BOXES, "1 minute")
+    assert counts.count() == 1_000_001 and counts.where("count > 0").count() == 2
+    assert tuple(counts.agg(F.countDistinct("window_start"), F.max("window_start")).first()) == (1_000_001, START + dt.timedelta(minutes=1_000_000))
+
+
+def windows_of(length, slide, fill, batches):
+    """(start, count, previous) that the state operator emits; batches are (panes, watermark)."""
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    class Panes(dict):
+        def exists(self):
+            return bool(self)
+
+        def iterator(self):
+            return iter(list(self.items()))
+
+        def removeKey(self, key):
+            del self[key]
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+    class Handle:
+        def __init__(self):
+            self.timers = set()
+
+        def getValueState(self, *_):
+            return Value()
+
+        def getMapState(self, *_):
+            return Panes()
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Times:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    handle = Handle()
+    own = st.SlidingCounts(length, slide, fill)
+    own.init(handle)
+    sizes, out = [], []
+    for panes, reached in batches:
+        frames = []
+        if panes:
+            frame = pd.DataFrame(panes, columns=["start_ms", "count"])
+            frames += own.handleInputRows(("r",), iter([frame]), Times(reached))
+        while fired := {t for t in handle.timers if t < reached}:
+            handle.timers -= fired
+            frames += own.handleExpiredTimer(("r",), Times(reached), None)
+        sizes += map(len, frames)
+        out += [row for f in frames for row in zip(f["start_ms"].tolist(), f["count"].tolist(), f["previous"].tolist())]
+    return out, max(sizes, default=0)
+
+
+@pytest.mark.parametrize("length, slide", [(30, 10), (10, 10), (20, 50), (25, 10)])
+@pytest.mark.parametrize("fill", [True, False])
+def test_state_operator_against_counts(length, slide, fill):
+    rng = random.Random(length + slide)
+    pane = math.gcd(length, slide)
+    places = {rng.randrange(40) * pane for _ in range(20)} | {300 * pane + rng.randrange(5) * pane for _ in range(3)}
+    panes = sorted((p, rng.randint(1, 5)) for p in places)
+    batches, done = [], 0
+    for reached in [pane * k for k in (5, 6, 20, 41, 42, 43, 250, 301, 306, 500)]:
+        batches.append(([p for p in panes if done < p[0] + pane <= reached or (done == 0 and p[0] + pane <= reached)], reached))
+        done = reached
+    got, _ = windows_of(length, slide, fill, batches)
+    expected, previous, busy = [], 0, False
+    for start in range(-length // slide * slide, 500 * pane, slide):
+        count = sum(n for p, n in panes if start <= p < start + length)
+        busy |= count > 0
+        if busy and start + length <= 500 * pane and (fill or count):
+            expected.append((start, count, previous))
+            previous = count
+    assert got == expected
+
+
+def test_long_silence_in_a_stream():
+    """A million silent windows leave in frames of a bounded size."""
+    got, largest = windows_of(10, 10, True, [([(0, 3)], 10), ([(10_000_000, 4)], 10_000_010)])
+    assert len(got) == 1_000_001 and largest <= st.PAGE
+    assert got[:2] == [(0, 3, 0), (10, 0, 3)] and got[-1] == (10_000_000, 4, 0)
+    quiet, largest = windows_of(10, 10, True, [([(0, 3)], 10), ([], 10_000_010)])
+    assert len(quiet) == 1_000_001 and largest <= st.PAGE and quiet[-1] == (10_000_000, 0, 0)
