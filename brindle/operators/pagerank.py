@@ -17,7 +17,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions.numeric import fixed_point
@@ -28,6 +29,10 @@ ALPHA = 0.15
 
 SHARD_EDGES = 1_000_000
 CHECKPOINT_EVERY = 1
+LOG = (
+    "iteration int, nodes bigint, edges bigint, messages bigint, missing bigint, mass double, alpha double, "
+    "sources array<bigint>"
+)
 
 
 @dataclass(frozen=True)
@@ -193,26 +198,56 @@ def load_iteration(spark: SparkSession, base: str, iteration: int) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/iter{iteration:04d}")
 
 
-def iteration_stats(graph: Graph, ranks: DataFrame) -> DataFrame:
-    """One row per ``ranks``: nodes, edges after repair (one message each), ids without record, mass.
+def missing_targets(graph: Graph) -> int:
+    """How many ids without a node record an edge of a known node, or the jump of a dangling node, sends rank to."""
+    spark = graph.nodes.sparkSession
+    targets = graph.edges.select(F.col("dst").alias("id"))
+    if not graph.nodes.where(F.col("degree") == 0).isEmpty():
+        targets = targets.unionByName(spark.createDataFrame([(s,) for s in graph.sources], "id bigint"))
+    return targets.distinct().join(graph.nodes, "id", "left_anti").count()
+
 
-    An id without a node record counts once if an edge of a known node, or the jump of a dangling
-    node to an absent source, sends rank to it.
+def run_logged(graph: Graph, iterations: int, base: str, alpha: float = ALPHA) -> DataFrame:
+    """Run until ``iterations`` steps are done, going on after the last complete one that ``base`` holds.
+
+    Every step is written to a folder of its own, and counted and summed up while it is written; then a line goes to
+    the log.  A step that was cut off has no line, so a later run writes its folder anew.  The ids without a record
+    are the same for every step and are counted once per log.  A log of other sources or another alpha is refused.
     """
-    m = len(graph.sources)
-    targets = graph.edges.select(F.col("dst").alias("id"))
     spark = graph.nodes.sparkSession
-    wanted = spark.createDataFrame([(s,) for s in graph.sources], "id bigint")
-    any_dangling = graph.nodes.where(F.col("degree") == 0).select("id").limit(1).exists()
-    targets = targets.unionByName(wanted.where(any_dangling)).distinct()
-    missing = targets.join(graph.nodes, "id", "left_anti").agg(F.count("*").alias("n")).scalar()
-    messages = F.sum(F.when(F.col("degree") == 0, m).otherwise(F.col("degree")))
-    return ranks.agg(
-        F.count("*").alias("nodes"),
-        messages.alias("edges"),
-        messages.alias("messages"),
-        F.sum("rank").alias("mass"),
-    ).select("nodes", "edges", "messages", missing.alias("missing"), "mass")
+    log = iteration_log(spark, base)
+    last = log.orderBy(F.desc("iteration")).first()
+    if last is None:
+        done, ranks, missing = 0, initial_ranks(graph), missing_targets(graph)
+    else:
+        if (last.alpha, list(last.sources)) != (alpha, graph.sources):
+            raise ValueError(f"the iterations in {base} have alpha {last.alpha} and sources {last.sources}")
+        done, missing = last.iteration, last.missing
+        ranks = load_iteration(spark, base, done)
+    sent = F.when(F.col("degree") == 0, len(graph.sources)).otherwise(F.col("degree"))
+    for iteration in range(done + 1, iterations + 1):
+        seen = Observation()
+        measures = (F.count("*").alias("nodes"), F.coalesce(F.sum(sent), F.lit(0)).alias("edges"), F.coalesce(F.sum("rank"), F.lit(0.0)).alias("mass"))
+        save_iteration(step(graph, ranks, alpha).observe(seen, *measures), base, iteration)
+        found = seen.get
+        line = (iteration, found["nodes"], found["edges"], found["edges"], missing, found["mass"], alpha, graph.sources)
+        spark.createDataFrame([line], LOG).coalesce(1).write.mode("append").parquet(_log_path(base))
+        ranks = load_iteration(spark, base, iteration)
+    return ranks
+
+
+def _log_path(base: str) -> str:
+    return f"{base.rstrip('/')}/log"
+
+
+def iteration_log(spark: SparkSession, base: str) -> DataFrame:
+    """A line per complete step: iteration, nodes, edges after repair (one message each), ids without record, mass."""
+    try:
+        return spark.read.schema(LOG).parquet(_log_path(base))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG)
 
 
 def top_ranks(ranks: DataFrame, k: int) -> DataFrame:

@@ -411,6 +411,7 @@ def _counts_sql(length: int, slide: int) -> str:
 
 
 SQL["region_hourly"] = SQL["region_from_trip_text"] = SQL["stream_region_hourly"] = _counts_sql(1, 1)
+SQL["stream_region_batches"] = SQL["region_hourly"]
 SQL["region_sliding"] = SQL["stream_region_sliding"] = _counts_sql(6, 2)
 
 SQL["arrivals_history"] = f"""WITH {_arrivals_sql(1, 1)}

@@ -7,10 +7,10 @@ are derived here from whole tables.  Output columns are strings, integers and ro
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from brindle.functions.text import tokenize
 from brindle.operators import arrivals, classify, cooccurrence, index, pagerank, scoring, training
@@ -19,7 +19,6 @@ from brindle.plans import shipments
 from brindle.session import work_path
 from brindle.sources import readers, sinks
 from brindle.streaming import arrivals as streams
-from brindle.streaming.replay import write_in_order
 
 # Parameters of the registered queries.
 DAY = "1996-11-01"
@@ -33,6 +32,7 @@ AND_QUERY = "the of AND"
 OR_QUERY = "the of OR"
 NESTED_QUERY = "the of OR and AND to AND"
 EPOCHS = 2
+EVENT_FILES = 6
 SEED = 7
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -353,11 +353,12 @@ def pagerank_iter5(t: Tables) -> DataFrame:
 
 @query
 def pagerank_resumed(t: Tables) -> DataFrame:
-    """Three iterations stored, then two more from the stored ones."""
+    """Three iterations, a fourth that is cut off before it is logged, and a second run that goes on by itself."""
     graph = pagerank.materialize(_graph(t))
     base = work_path(t.spark, "ranks")
-    pagerank.save_iteration(pagerank.iterate(graph, 3), base, 3)
-    return _rounded_ranks(pagerank.iterate(graph, 2, pagerank.load_iteration(t.spark, base, 3)))
+    ranks = pagerank.run_logged(graph, 3, base)
+    pagerank.save_iteration(ranks.withColumn("rank", F.lit(0.0)), base, 4)
+    return _rounded_ranks(pagerank.run_logged(graph, 5, base))
 
 
 @query
@@ -365,22 +366,24 @@ def pagerank_topk(t: Tables) -> DataFrame:
     return pagerank.top_ranks_text(pagerank.iterate(pagerank.materialize(_graph(t)), 20), 10)
 
 
-def _rounded_stats(stats: DataFrame) -> DataFrame:
-    return stats.withColumn("mass", F.round("mass", 9))
+def _logged_stats(t: Tables, graph: pagerank.Graph) -> DataFrame:
+    """What the log says of the second iteration."""
+    base = work_path(t.spark, "ranks")
+    pagerank.run_logged(pagerank.materialize(graph), 2, base)
+    stats = pagerank.iteration_log(t.spark, base).where("iteration = 2")
+    return stats.select("nodes", "edges", "messages", "missing", F.round("mass", 9).alias("mass"))
 
 
 @query
 def pagerank_mass(t: Tables) -> DataFrame:
-    graph = pagerank.materialize(_graph(t))
-    return _rounded_stats(pagerank.iteration_stats(graph, pagerank.iterate(graph, 2)))
+    return _logged_stats(t, _graph(t))
 
 
 @query
 def pagerank_missing(t: Tables) -> DataFrame:
     """As ``pagerank_mass``, where the parts of one size have edges but no node record."""
     nodes = _nodes(t, t.part.where(F.col("p_size") != MISSING_SIZE))
-    graph = pagerank.materialize(pagerank.build_graph(nodes, _edges(t), SOURCES))
-    return _rounded_stats(pagerank.iteration_stats(graph, pagerank.iterate(graph, 2)))
+    return _logged_stats(t, pagerank.build_graph(nodes, _edges(t), SOURCES))
 
 
 # Classification --------------------------------------------------------------------------------
@@ -573,51 +576,51 @@ def trending(t: Tables) -> DataFrame:
     return _text_times(arrivals.alerts(arrivals.arrivals_with_previous(_events(t), BOXES, "6 hours"), BOXES))
 
 
-def _replayed(
+def _streamed(
     t: Tables,
     length_hours: int,
     slide_hours: int,
     build: Callable[[DataFrame, str], DataFrame],
-    partition_by: list[str] | None = None,
+    run: Callable[[DataFrame, str, str], StreamingQuery] | None = None,
 ) -> DataFrame:
-    """Replay the events as ordered files, run a stream over them to the end, return what it wrote.
+    """Write the events as files in order of time, run a stream over them by name, return what it wrote.
 
-    The closing event lies one delay after the end of the last window, so that the watermark stops
-    exactly there.
+    One event outside every region, a delay after the end of the last window, moves the watermark exactly there.
     """
     spark = t.spark
-    events = _events(t).withColumn("ts", F.col("ts").cast("timestamp"))
-    slices = 6
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    delay = (last - first) // slices // timedelta(seconds=1) + 1
-    slide = slide_hours * 3600
-    last_end = int(last.timestamp()) // slide * slide + length_hours * 3600
-    closing = type(last).fromtimestamp(last_end + delay)
-    folder, out, log = (work_path(spark, name) for name in ("replay", "stream", "stream-log"))
-    write_in_order(events, folder, slices, closing)
-    source = readers.ordered_file_stream(spark, folder, "x double, y double, ts timestamp")
+    events = _events(t).select("x", "y", F.col("ts").cast("timestamp").alias("ts"))
+    last = events.agg(F.unix_seconds(F.max("ts"))).first()[0]
+    slide, delay = slide_hours * 3600, 3600
+    closing = last // slide * slide + length_hours * 3600 + delay
+    nowhere = spark.range(1).select(
+        F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), F.timestamp_seconds(F.lit(closing)).alias("ts")
+    )
+    folder, out, log = (work_path(spark, name) for name in ("event-files", "stream", "stream-log"))
+    sinks.write_in_ranges(events.unionByName(nowhere), folder, "ts", EVENT_FILES)
+    source = readers.named_file_stream(spark, folder, "x double, y double, ts timestamp", log)
+    run = run or (lambda results, out, log: sinks.stream_to_parquet(results, out, log, available_now=False))
     with streams.stream_settings(spark):
         results = build(source, f"{delay} seconds")
-        running = sinks.stream_to_parquet(results, out, log, partition_by)
-    running.awaitTermination()
-    return _text_times(spark.read.schema(results.schema).parquet(out))
+        running = run(results, out, log)
+    sinks.run_to_end(running)
+    return _text_times(spark.read.schema(results.schema).parquet(out).select(*results.columns))
 
 
 @query
 def stream_region_hourly(t: Tables) -> DataFrame:
-    return _replayed(t, 1, 1, lambda events, delay: streams.region_stream(events, BOXES, "60 minutes", delay=delay))
+    return _streamed(t, 1, 1, lambda events, delay: streams.region_stream(events, BOXES, "60 minutes", delay=delay))
 
 
 @query
 def stream_region_sliding(t: Tables) -> DataFrame:
-    return _replayed(
+    return _streamed(
         t, 6, 2, lambda events, delay: streams.region_stream(events, BOXES, "6 hours", "2 hours", delay=delay)
     )
 
 
 @query
 def stream_trending(t: Tables) -> DataFrame:
-    return _replayed(
+    return _streamed(
         t,
         6,
         6,
@@ -628,10 +631,18 @@ def stream_trending(t: Tables) -> DataFrame:
 @query
 def stream_trending_partitioned(t: Tables) -> DataFrame:
     """As ``stream_trending``, with an output folder per window."""
-    return _replayed(
+    return _streamed(
         t,
         6,
         6,
         lambda events, delay: arrivals.alerts(streams.arrivals_stream(events, BOXES, "6 hours", delay=delay), BOXES),
-        ["window_start"],
+        lambda results, out, log: sinks.stream_to_parquet(results, out, log, ["window_start"], available_now=False),
+    )
+
+
+@query
+def stream_region_batches(t: Tables) -> DataFrame:
+    """As ``stream_region_hourly``, with an output folder per micro-batch."""
+    return _streamed(
+        t, 1, 1, lambda events, delay: streams.region_stream(events, BOXES, "60 minutes", delay=delay), sinks.stream_in_batches
     )

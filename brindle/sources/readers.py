@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions.text import split_fields, split_lines
+from brindle.sources.named_files import NamedFiles
 from brindle.sources.schemas import TABLES
 
 # Field positions in a trip record (taxi type first; drop-off point by layout).
@@ -137,3 +138,21 @@ def ordered_file_stream(
         .option("recursiveFileLookup", "true")
         .load(folder)
     )
+
+
+def named_file_stream(
+    spark: SparkSession, folder: str, schema: str, checkpoint: str, files_per_batch: int = 1, format: str = "parquet"
+) -> DataFrame:
+    """A stream over the ``part-*`` files of a folder in the order of their names, a few files per micro-batch.
+
+    ``checkpoint`` is the checkpoint folder of the query that will read it; ``format`` is parquet or text.
+    """
+    spark.dataSource.register(NamedFiles)
+    return (
+        spark.readStream.schema(schema)
+        .format(NamedFiles.name())
+        .option("fileFormat", format)
+        .option("filesPerBatch", files_per_batch)
+        .option("checkpoint", checkpoint)
+        .load(folder)
+    )

@@ -52,15 +52,48 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stream_to_parquet(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
-    """Append a stream to Parquet with exactly-once files; stops when the present input is consumed."""
+def write_in_ranges(df: DataFrame, path: str, column: str, files: int) -> None:
+    """Write a table as ``files`` files at most, whose names are in the order of the column and whose rows are too."""
+    df.repartitionByRange(files, column).sortWithinPartitions(column).write.parquet(path)
+
+
+def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Write one micro-batch to a folder of its own; the same batch again replaces it."""
+    batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+
+def stream_in_batches(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write every micro-batch of a stream once, under its number; ``batch`` is a column of what is read back.
+
+    A batch that was written but not committed is repeated after a restart under the same number, so it replaces
+    what it wrote before and nothing is there twice.
+    """
+    return (
+        df.writeStream.outputMode("append")
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
+def run_to_end(query: StreamingQuery) -> None:
+    """Wait until a query has taken all that is there, and stop it."""
+    query.processAllAvailable()
+    query.stop()
+
+
+def stream_to_parquet(
+    df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None, available_now: bool = True
+) -> StreamingQuery:
+    """Append a stream to Parquet with exactly-once files; with ``available_now`` it ends with the present input."""
     writer = (
         df.writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
     )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.start()

@@ -1,3 +1,3 @@
-from brindle.streaming import arrivals, replay
+from brindle.streaming import arrivals
 
-__all__ = ["arrivals", "replay"]
+__all__ = ["arrivals"]

@@ -15,7 +15,6 @@ from brindle.operators.arrivals import Box
 from brindle.session import work_path
 from brindle.sources import readers, sinks
 from brindle.streaming import arrivals as st
-from brindle.streaming.replay import write_in_order
 
 START = dt.datetime(2024, 1, 1)
 BOXES = [Box("a", 0, 10, 0, 10, "Area A"), Box("b", 5, 20, 0, 10)]
@@ -87,20 +86,26 @@ def busy_events(spark):
     return events_of(spark, points)
 
 
+def with_closing(spark, events, closing):
+    """The events and one outside every region that moves the watermark on."""
+    nowhere = spark.createDataFrame([(None, None, closing)], "x double, y double, ts timestamp")
+    return events.select("x", "y", "ts").unionByName(nowhere)
+
+
 def replayed(spark, events, build, length_minutes, slide_minutes, delay_minutes=40):
-    """Run a stream over the replayed events; the closing event lies a delay after the last window's end."""
+    """Run a stream over files of the events by name; the closing event lies a delay after the last window's end."""
     folder, out, log = (work_path(spark, n) for n in ("events", "out", "log"))
     last = events.agg(F.max("ts")).first()[0]
     slide = dt.timedelta(minutes=slide_minutes)
     last_start = START + (last - START) // slide * slide
     closing = last_start + dt.timedelta(minutes=length_minutes + delay_minutes)
-    step = write_in_order(events, folder, 5, closing)
-    assert step <= dt.timedelta(minutes=delay_minutes)
-    source = readers.ordered_file_stream(spark, folder, "x double, y double, ts timestamp")
+    sinks.write_in_ranges(with_closing(spark, events, closing), folder, "ts", 5)
+    source = readers.named_file_stream(spark, folder, "x double, y double, ts timestamp", log)
     with st.stream_settings(spark, 3):
-        query = sinks.stream_to_parquet(build(source, f"{delay_minutes} minutes"), out, log)
-    query.awaitTermination()
-    assert len(query.recentProgress) >= 6
+        query = sinks.stream_to_parquet(build(source, f"{delay_minutes} minutes"), out, log, available_now=False)
+    query.processAllAvailable()
+    assert len(query.recentProgress) >= 5
+    query.stop()
     return spark.read.parquet(out)
 
 
@@ -141,11 +146,11 @@ def test_stream_of_trip_text_equals_batch(spark, busy_events):
 
 def test_stream_sink_in_folders_per_window(spark, busy_events):
     folder, out, log = (work_path(spark, n) for n in ("events", "out", "log"))
-    write_in_order(busy_events, folder, 2, START + dt.timedelta(hours=9))
-    source = readers.ordered_file_stream(spark, folder, "x double, y double, ts timestamp")
+    sinks.write_in_ranges(with_closing(spark, busy_events, START + dt.timedelta(hours=9)), folder, "ts", 2)
+    source = readers.named_file_stream(spark, folder, "x double, y double, ts timestamp", log)
     hourly = st.region_stream(source, BOXES, "60 minutes", delay="2 hours", fill=False)
     with st.stream_settings(spark, 2):
-        sinks.stream_to_parquet(hourly, out, log, ["window_start"]).awaitTermination()
+        sinks.run_to_end(sinks.stream_to_parquet(hourly, out, log, ["window_start"], available_now=False))
     assert sorted(p for p in os.listdir(out) if p.startswith("window_start=")) == [
         f"window_start=2024-01-01 0{hour}%3A00%3A00" for hour in range(3)
     ]
@@ -298,3 +303,84 @@ def test_long_silence_in_a_stream():
     assert got[:2] == [(0, 3, 0), (10, 0, 3)] and got[-1] == (10_000_000, 4, 0)
     quiet, largest = windows_of(10, 10, True, [([(0, 3)], 10), ([], 10_000_010)])
     assert len(quiet) == 1_000_001 and largest <= st.PAGE and quiet[-1] == (10_000_000, 0, 0)
+
+
+@pytest.fixture
+def reversed_files(spark):
+    """Files whose order of names is that of time and whose modification times are the other way round."""
+    folder = work_path(spark, "reversed")
+    for hour in range(4):
+        events = events_of(spark, [(60 * hour + k, 1, 1) for k in range(hour + 1)])
+        frame = events.toPandas()
+        os.makedirs(folder, exist_ok=True)
+        path = f"{folder}/part-{hour:04d}.parquet"
+        frame.to_parquet(path, coerce_timestamps="us")
+        os.utime(path, (2_000_000_000 - 1000 * hour,) * 2)
+    open(f"{folder}/_SUCCESS", "w").close()
+    return folder
+
+
+def test_stream_takes_files_by_name(spark, reversed_files):
+    """No delay: a file taken out of order would be late and lost."""
+    out, log = (work_path(spark, n) for n in ("out", "log"))
+
+    def run():
+        source = readers.named_file_stream(spark, reversed_files, "x double, y double, ts timestamp", log)
+        hourly = st.region_stream(source, BOXES, "60 minutes", delay="0 seconds", fill=False)
+        with st.stream_settings(spark, 2):
+            query = sinks.stream_in_batches(hourly, out, log)
+        query.processAllAvailable()
+        sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        query.stop()
+        return sizes
+
+    assert run() == [1, 2, 3, 4]
+    written = spark.read.parquet(out)
+    assert shown(written, "count") == [("a", 0, 1), ("a", 60, 2), ("a", 120, 3)]
+    # Restarted, it takes later files one by one, and none under an earlier name.
+    for name, minute in (("part-0009.parquet", 600), ("part-0010.parquet", 700), ("part-0000a.parquet", 30)):
+        events_of(spark, [(minute, 1, 1)]).toPandas().to_parquet(f"{reversed_files}/{name}", coerce_timestamps="us")
+    assert run() == [1, 1]
+    assert shown(spark.read.parquet(out), "count") == [("a", 0, 1), ("a", 60, 2), ("a", 120, 3), ("a", 180, 4), ("a", 600, 1)]
+
+
+def test_a_repeated_batch_replaces_itself(spark, reversed_files):
+    """A batch whose commit was lost runs again under its number."""
+    out, log = (work_path(spark, n) for n in ("out", "log"))
+
+    def run():
+        source = readers.named_file_stream(spark, reversed_files, "x double, y double, ts timestamp", log, files_per_batch=3)
+        sinks.run_to_end(sinks.stream_in_batches(source.select("x", "ts"), out, log))
+        return rows(spark.read.parquet(out), "batch", "ts")
+
+    first = run()
+    assert len(first) == 10 and {r[0] for r in first} == {0, 1}
+    commits = f"{log}/commits"
+    for name in ("1", ".1.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            os.remove(f"{commits}/{name}")
+    assert run() == first
+    sinks.write_batch(spark.range(2), out, 1)
+    assert spark.read.parquet(f"{out}/batch=1").count() == 2
+
+
+def test_text_files_by_name(spark, tmp_path):
+    for k, text in enumerate(["one\ntwo\n", "", "three"]):
+        (tmp_path / f"part-{k}").write_text(text)
+    (tmp_path / "other").write_text("no")
+    out, log = (work_path(spark, n) for n in ("out", "log"))
+    source = readers.named_file_stream(spark, f"file://{tmp_path}", "value string", log, format="text")
+    sinks.run_to_end(sinks.stream_in_batches(source, out, log))
+    assert rows(spark.read.parquet(out), "value") == [("one",), ("three",), ("two",)]
+    missing = readers.named_file_stream(spark, str(tmp_path / "nothing"), "value string", log, format="text")
+    with pytest.raises(Exception, match="nothing"):
+        query = sinks.stream_in_batches(missing, work_path(spark, "out"), work_path(spark, "log"))
+        sinks.run_to_end(query)
+
+
+def test_ranges_are_in_order_of_names(spark):
+    folder = work_path(spark, "ranges")
+    sinks.write_in_ranges(spark.range(1000).selectExpr("(id * 7919) % 1000 as v"), folder, "v", 4)
+    names = sorted(n for n in os.listdir(folder) if n.startswith("part-"))
+    values = [v for n in names for (v,) in spark.read.parquet(f"{folder}/{n}").collect()]
+    assert len(names) == 4 and values == list(range(1000))
