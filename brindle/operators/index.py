@@ -15,8 +15,7 @@ from brindle.functions.text import as_column, snippet, tokenize
 
 BLOCK_DOCS = 65_536
 
-# Terms of a query per integer of presence bits, and the operators' codes next to term numbers.
-BITS = 62
+# The operators' codes next to term numbers.
 IS_AND = -1
 IS_OR = -2
 
@@ -145,10 +144,26 @@ def check_postfix(query: str) -> list[str]:
     return tokens
 
 
+def lookup(index: DataFrame, terms: list[str]) -> DataFrame:
+    """The index rows of some terms; of a stored index only the folders of their buckets are opened."""
+    rows = index.where(F.col("term").isin(terms))
+    if not {"buckets", "bucket"} <= set(index.columns):
+        return rows
+    own = F.lit(False)
+    for term in terms:
+        own |= F.col("bucket") == bucket_of(F.lit(term), F.col("buckets"))
+    return rows.where(own)
+
+
+def bucket_of(term: Column, buckets: Column) -> Column:
+    """The bucket of a stored index that holds a term."""
+    return F.pmod(F.xxhash64(term), buckets).cast("int")
+
+
 def boolean_search(index: DataFrame, query: str) -> DataFrame:
     """(doc_id) of the documents that satisfy one postfix query such as ``a b OR c AND``.
 
-    Only the postings of the query's terms are read.  They meet once, grouped by document into one
+    Only the postings of the query's terms are read (``lookup``).  They meet once, grouped by document into one
     flag per term; the query is then a plain filter over the flags.
     """
     tokens = check_postfix(query)
@@ -161,7 +176,7 @@ def boolean_search(index: DataFrame, query: str) -> DataFrame:
         else:
             stack.append(F.col(f"has_{terms.index(token)}"))
     flags = [F.bool_or(F.col("term") == term).alias(f"has_{i}") for i, term in enumerate(terms)]
-    hits = index.where(F.col("term").isin(terms)).select("term", F.explode("postings.doc_id").alias("doc_id"))
+    hits = lookup(index, terms).select("term", F.explode("postings.doc_id").alias("doc_id"))
     return hits.groupBy("doc_id").agg(*flags).where(stack.pop()).select("doc_id")
 
 
@@ -169,13 +184,10 @@ def boolean_search_batch(index: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, doc_id) for a table (query_id, postfix) of queries of any number and length.
 
     Every query gets a cover: terms of which each answer has at least one.  An AND takes the cover of
-    the side with fewer postings, an OR needs those of both.  Only documents of the cover become
-    candidates, so a frequent word that is AND-ed with a rare one is never paired with its documents
-    per query.  Candidates then look up which of the query's terms they have, by term and document, and
-    the postfix is evaluated on the result.
-
-    What a document has of a query is gathered as bits, ``BITS`` terms to an integer: a plain hash
-    aggregation that combines before the shuffle.  A malformed query fails the job.
+    the side with fewer postings, an OR needs those of both.  The lists of the cover give a query's candidates, block
+    by block.  Candidates probe the lists of all terms of the query by (term, block), so a block without candidates
+    is never opened for a frequent word, and what comes back is the candidates that have the term.  The postfix
+    is then evaluated once per query and block, on sets of at most a block's ids.  A malformed query fails the job.
     """
     parsed = (
         queries.select("query_id", F.filter(F.split("postfix", r"\s+"), lambda t: t != "").alias("tokens"))
@@ -200,31 +212,17 @@ def boolean_search_batch(index: DataFrame, queries: DataFrame) -> DataFrame:
         .agg(F.map_from_entries(F.collect_list(F.struct("number", F.coalesce("df", F.lit(0)).alias("df")))).alias("sizes"))
     )
     covers = programs.join(sizes, "query_id").select("query_id", F.explode(_cover("program", "sizes")).alias("number"))
-    lists = index.select("term", F.col("postings.doc_id").alias("docs"))
+    lists = index.select("term", "block", F.col("postings.doc_id").alias("docs"))
     candidates = (
         covers.join(numbered, ["query_id", "number"])
         .join(lists, "term")
-        .select("query_id", F.explode("docs").alias("doc_id"))
-        .distinct()
-    )
-
-    asked = candidates.join(numbered, "query_id").select(
-        "query_id",
-        "doc_id",
-        "term",
-        F.floor(F.col("number") / BITS).alias("part"),
-        F.expr(f"shiftleft(1L, number % {BITS})").alias("bit"),
-    )
-    present = lists.join(numbered.select("term").distinct(), "term", "left_semi").select(
-        "term", F.explode("docs").alias("doc_id")
-    )
-    parts = asked.join(present, ["term", "doc_id"]).groupBy("query_id", "doc_id", "part").agg(F.bit_or("bit").alias("bits"))
-    found = parts.groupBy("query_id", "doc_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("part", "bits"))).alias("found")
-    )
-    return (
-        found.join(programs, "query_id").where(_postfix_holds("program", "depth", "found")).select("query_id", "doc_id")
+        .groupBy("query_id", "block")
+        .agg(F.array_distinct(F.flatten(F.collect_list("docs"))).alias("candidates"))
     )
+    probes = candidates.join(numbered, "query_id").join(lists, ["term", "block"])
+    hits = probes.select("query_id", "block", "number", F.array_intersect("candidates", "docs").alias("docs"))
+    sets = hits.groupBy("query_id", "block").agg(F.map_from_entries(F.collect_list(F.struct("number", "docs"))).alias("sets"))
+    return sets.join(programs, "query_id").select("query_id", F.explode(_answers("program", "sets")).alias("doc_id"))
 
 
 def _cover(program: str, sizes: str) -> Column:
@@ -268,38 +266,21 @@ def _checked_depth(query_id: str, tokens: str) -> Column:
     )
 
 
-def _postfix_holds(program: str, depth: str, found: str) -> Column:
-    """Evaluate a postfix of term numbers and operators.
-
-    The stack of truth values is an integer with the top in its lowest bit, which is cheap, or an
-    array of booleans for the rare query that is too deep for that.
-    """
-    one = F.lit(1).cast("bigint")
-
-    def has(number: Column) -> Column:
-        bits = F.coalesce(F.try_element_at(F.col(found), F.floor(number / BITS)), F.lit(0).cast("bigint"))
-        return F.getbit(bits, (number % BITS).cast("int"))
-
-    def bit_step(stack: Column, code: Column) -> Column:
-        rest, below = F.shiftright(stack, 2) * 2, F.shiftright(stack, 1)
-        return (
-            F.when(code == IS_AND, rest + stack.bitwiseAND(below).bitwiseAND(one))
-            .when(code == IS_OR, rest + stack.bitwiseOR(below).bitwiseAND(one))
-            .otherwise(stack * 2 + has(code))
-        )
+def _answers(program: str, sets: str) -> Column:
+    """The ids that satisfy a postfix of term numbers and operators, from the ids that have each term."""
+    nothing = F.array().cast("array<bigint>")
 
-    def array_step(stack: Column, code: Column) -> Column:
+    def step(stack: Column, code: Column) -> Column:
         rest = F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 2, F.lit(0)))
         top, below = F.try_element_at(stack, F.lit(-1)), F.try_element_at(stack, F.lit(-2))
+        own = F.coalesce(F.try_element_at(F.col(sets), code), nothing)
         return (
-            F.when(code == IS_AND, F.concat(rest, F.array(top & below)))
-            .when(code == IS_OR, F.concat(rest, F.array(top | below)))
-            .otherwise(F.concat(stack, F.array(has(code) == 1)))
+            F.when(code == IS_AND, F.concat(rest, F.array(F.array_intersect(top, below))))
+            .when(code == IS_OR, F.concat(rest, F.array(F.array_union(top, below))))
+            .otherwise(F.concat(stack, F.array(own)))
         )
 
-    return F.when(F.col(depth) <= BITS, F.aggregate(program, F.lit(0).cast("bigint"), bit_step) == 1).otherwise(
-        F.element_at(F.aggregate(program, F.array().cast("array<boolean>"), array_step), 1)
-    )
+    return F.element_at(F.aggregate(program, F.array().cast("array<array<bigint>>"), step), 1)
 
 
 def with_snippets(hits: DataFrame, documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

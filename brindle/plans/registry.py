@@ -222,7 +222,7 @@ def index_postings(t: Tables) -> DataFrame:
 
 def _stored_index(t: Tables) -> DataFrame:
     path = work_path(t.spark, "index")
-    sinks.write_index(_index(t), path, partitions=int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    sinks.write_index(_index(t), path, buckets=int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     return sinks.read_index(t.spark, path)
 
 

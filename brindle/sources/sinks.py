@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from brindle.operators.index import bucket_of
+
+#: Blocks of ids per file of a stored index.
+FILE_BLOCKS = 1_024
+
 
 def write_table(df: DataFrame, path: str, format: str = "parquet", **options: str) -> None:
     """Replace the folder at ``path``; ``format`` chooses a text form (csv, json, text) or a binary one."""
@@ -34,21 +39,26 @@ def write_pipe_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "|").option("quote", "").option("emptyValue", "").csv(path)
 
 
-def write_index(index: DataFrame, path: str, partitions: int) -> None:
-    """Write postings split by term and block, sorted by term inside each file.
+def write_index(index: DataFrame, path: str, buckets: int) -> None:
+    """Write postings to a folder per bucket of terms, sorted by term and block inside each file.
 
-    The block takes part in the split, so the blocks of a very frequent term spread over the files.
-    Sorted files give narrow term ranges per row group, which lets a term filter skip most of them.
+    A lookup of a term (``index.lookup``) opens its bucket's folder only, and sorted files give narrow term ranges per
+    row group.  The files of a bucket hold FILE_BLOCKS blocks of ids each, so the blocks of a very frequent term
+    are written by many tasks.
     """
+    number = F.lit(buckets)
+    rows = index.withColumn("buckets", number).withColumn("bucket", bucket_of(F.col("term"), number))
     (
-        index.repartition(partitions, "term", "block")
-        .sortWithinPartitions("term", "block")
+        rows.repartition(buckets, "bucket", F.expr(f"block div {FILE_BLOCKS}"))
+        .sortWithinPartitions("bucket", "term", "block")
         .write.mode("overwrite")
+        .partitionBy("buckets", "bucket")
         .parquet(path)
     )
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """The stored index, with the number of buckets and each row's bucket."""
     return spark.read.parquet(path)
 
 

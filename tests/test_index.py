@@ -1,10 +1,11 @@
 """Inverted index, gaps, sizes, boolean retrieval."""
 
 import random
+import shutil
 from collections import Counter
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from brindle.operators import index as ix
@@ -169,3 +170,32 @@ def test_blocks_of_large_ids(spark):
     ids = [0, 65_535, 65_536, (1 << 53) + 1, (1 << 60) - 1]
     frequencies = spark.createDataFrame([("a", i, 1) for i in ids], "term string, doc_id bigint, tf int")
     assert rows(ix.build_postings(frequencies).select("block")) == sorted((b,) for b in {i // 65_536 for i in ids})
+
+
+def test_a_lookup_opens_its_bucket_only(spark, index, texts, tmp_path):
+    """All other buckets are taken away after the folder was listed: opening one of them would fail."""
+    path = str(tmp_path / "index")
+    sinks.write_index(index, path, 4)
+    stored = sinks.read_index(spark, path)
+    places = dict(rows(stored.select("term", "bucket").distinct()))
+    terms = ["red", "white"]
+    assert set(places.values()) == {0, 1, 2, 3}
+    for bucket in set(range(4)) - {places[t] for t in terms}:
+        shutil.rmtree(f"{path}/buckets=4/bucket={bucket}")
+    assert {r.doc_id for r in ix.boolean_search(stored, "red white OR").collect()} == brute_query(texts, "red white OR")
+    assert "PartitionFilters: [" in plan(ix.lookup(stored, terms)) and "PushedFilters: [In(term" in plan(ix.lookup(stored, terms))
+    with pytest.raises(Exception, match="exist|FILE_NOT_EXIST"):
+        stored.agg(F.sum("block_df")).collect()
+
+
+def test_batch_over_many_blocks_and_a_stored_index(spark, documents, texts, tmp_path):
+    """Blocks of three ids: most queries have candidates in some blocks only."""
+    path = str(tmp_path / "index")
+    sinks.write_index(ix.build_postings(ix.term_frequencies(documents), block_docs=3), path, 4)
+    queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id int, postfix string")
+    got = {}
+    found = ix.boolean_search_batch(sinks.read_index(spark, path), queries).collect()
+    for r in found:
+        got.setdefault(r.query_id, set()).add(r.doc_id)
+    expected = {i: brute_query(texts, q) for i, q in enumerate(QUERIES)}
+    assert got == {i: docs for i, docs in expected.items() if docs} and len(found) == sum(map(len, got.values()))
