@@ -9,7 +9,10 @@ task.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,8 @@ from brindle.session import shared_dir
 SCORE_BUCKETS = 256
 SKETCH_PARTS = 64
 SKETCH_ACCURACY = 1_000
+#: Weight vectors that a task of the bootstrap sums up at once, and keeps before it passes them on.
+VECTORS = 4_096
 
 # Resamples of the bootstrap, the width of its interval in standard deviations.
 RESAMPLES = 100
@@ -66,6 +71,9 @@ def _with_range(rows: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
     return rows.withColumn("bounds", bounds).withColumn("bucket", F.size(below)).drop("bounds")
 
 
+SUMS = ("hams", "spams", "fp", "fn")
+
+
 def _inversions(cells: DataFrame, by: list[str]) -> DataFrame:
     """(by..., hams, spams, fp, fn, inversions) from (by..., bucket, score, hams, spams, fp, fn).
 
@@ -74,13 +82,16 @@ def _inversions(cells: DataFrame, by: list[str]) -> DataFrame:
     inside = Window.partitionBy(*by, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("spams").over(inside), F.lit(0))
     local = cells.withColumn("part", F.col("hams") * (below + 0.5 * F.col("spams")))
-    sums = [F.sum(c).alias(c) for c in ("hams", "spams", "fp", "fn")]
-    ranges = local.groupBy(*by, "bucket").agg(*sums, F.sum("part").alias("part"))
-    # One row per range from here on: at most SCORE_BUCKETS of them for each key.
+    ranges = local.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in SUMS], F.sum("part").alias("part"))
+    return _combined(ranges, by)
+
+
+def _combined(ranges: DataFrame, by: list[str]) -> DataFrame:
+    """``_inversions`` from one row per range, at most SCORE_BUCKETS of them for each key."""
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("spams").over(before), F.lit(0)).cast("double")
     joined = ranges.withColumn("part", F.col("part") + F.col("hams") * offset)
-    return joined.groupBy(*by).agg(*sums, F.sum("part").alias("inversions"))
+    return joined.groupBy(*by).agg(*[F.sum(c).alias(c) for c in SUMS], F.sum("part").alias("inversions"))
 
 
 def _area() -> Column:
@@ -155,38 +166,104 @@ def rate_curve(scores: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
     )
 
 
-def _draw(doc_id: str, replicate: str, seed: int) -> Column:
-    """A number below 2**32 that depends on id, resample and seed alone."""
-    text = F.concat_ws(":", F.lit(str(seed)), F.col(replicate).cast("string"), F.col(doc_id).cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+def draws(doc_id: str, resamples: int, seed: int) -> Column:
+    """A number below 2**32 for each resample that depends on id, resample and seed alone."""
+
+    def draw(replicate: Column) -> Column:
+        text = F.concat_ws(":", F.lit(str(seed)), replicate.cast("string"), F.col(doc_id).cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(resamples - 1)), draw)
+
 
+def poisson_weights(drawn: np.ndarray) -> np.ndarray:
+    """Poisson(1) weights of numbers that are even below 2**32."""
+    return np.searchsorted(POISSON_STEPS, drawn, side="right")
 
-def with_resample_weight(rows: DataFrame, seed: int, doc_id: str = "doc_id", replicate: str = "replicate") -> DataFrame:
-    """Add ``weight``, the Poisson(1) weight of an instance in a resample; rows of weight 0 are left out.
 
-    The filter tests the draw itself, so that it costs one hash per row.
+def _summed(keys: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of keys in order, and the sums of their vectors."""
+    order = np.lexsort(keys.T[::-1])
+    keys, vectors = keys[order], vectors[order]
+    starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+    return keys[starts], np.add.reduceat(vectors, starts)
+
+
+def _weighted_cells(drawn: DataFrame, resamples: int) -> DataFrame:
+    """(bucket, score, spam, weights, wrong): the vectors of a class and score, summed up in each task.
+
+    From (bucket, score, spam, wrong, draws); ``wrong`` of an instance is whether it is misclassified.
     """
-    steps = [F.when(F.col("draw") >= step, 1).otherwise(0) for step in POISSON_STEPS[1:]]
-    drawn = rows.withColumn("draw", _draw(doc_id, replicate, seed)).where(F.col("draw") >= POISSON_STEPS[0])
-    return drawn.withColumn("weight", sum(steps, F.lit(1))).drop("draw")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, vectors = np.zeros((0, 3)), np.zeros((0, 2 * resamples), dtype=np.int64)
+
+        def batch_of() -> pa.RecordBatch:
+            lists = [pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), resamples).cast(pa.list_(pa.int64())) for v in np.split(vectors, 2, axis=1)]
+            names = ["bucket", "score", "spam", "weights", "wrong"]
+            return pa.RecordBatch.from_arrays([pa.array(keys[:, 0].astype(np.int32)), pa.array(keys[:, 1]), pa.array(keys[:, 2] > 0), *lists], names=names)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, VECTORS):
+                own = batch[at : at + VECTORS]
+                weights = poisson_weights(own.column("draws").flatten().to_numpy().reshape(-1, resamples))
+                named = np.stack([own.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("bucket", "score", "spam")], axis=1)
+                wrong = weights * own.column("wrong").to_numpy(zero_copy_only=False)[:, None]
+                keys, vectors = _summed(np.concatenate([keys, named]), np.concatenate([vectors, np.hstack([weights, wrong])]))
+                if len(keys) > VECTORS:
+                    yield batch_of()
+                    keys, vectors = keys[:0], vectors[:0]
+        if len(keys):
+            yield batch_of()
+
+    return drawn.mapInArrow(run, "bucket int, score double, spam boolean, weights array<bigint>, wrong array<bigint>")
+
+
+def _weighted_ranges(cells: DataFrame, resamples: int) -> DataFrame:
+    """(replicate, bucket, hams, spams, fp, fn, part) as ``_combined`` takes it, a range at a time."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        named = np.stack([table.column(c).to_numpy().astype(float) for c in ("score", "spam")], axis=1)
+        vectors = [table.column(c).combine_chunks().flatten().to_numpy().reshape(-1, resamples) for c in ("weights", "wrong")]
+        keys, sums = _summed(named, np.hstack(vectors))
+        weights, wrong = np.split(sums, 2, axis=1)
+        spam = keys[:, 1:] > 0
+        spams, hams = weights * spam, weights * ~spam
+        # Spams of a score stand behind its hams: those below a ham are all before it, and half of those at its score.
+        scores, at = np.unique(keys[:, 0], return_inverse=True)
+        by_score = np.zeros((len(scores), resamples), dtype=np.int64)
+        np.add.at(by_score, at, spams)
+        below = np.cumsum(by_score, axis=0) - 0.5 * by_score
+        part = (hams * below[at]).sum(axis=0)
+        found = [hams.sum(axis=0), spams.sum(axis=0), (wrong * ~spam).sum(axis=0), (wrong * spam).sum(axis=0), part]
+        bucket = pa.array([table.column("bucket")[0].as_py()] * resamples, pa.int32())
+        return pa.Table.from_arrays([pa.array(np.arange(resamples, dtype=np.int32)), bucket, *map(pa.array, found)], names=["replicate", "bucket", *SUMS, "part"])
+
+    return cells.groupBy("bucket").applyInArrow(
+        run, "replicate int, bucket int, hams bigint, spams bigint, fp bigint, fn bigint, part double"
+    )
 
 
 def bootstrap(scores: DataFrame, resamples: int = RESAMPLES, seed: int = 1, buckets: int = SCORE_BUCKETS) -> DataFrame:
     """One row: the ROC measure and lam, each with an interval of +-1.96 deviations on the logit scale.
 
     A resample gives every instance a Poisson(1) weight, the usual stand-in for drawing n of n with
-    replacement when rows are spread over many tasks.  Weights are summed per resample and score before
-    the shuffle.  A resample without a finite logit is left out of the deviation.
+    replacement when rows are spread over many tasks.  An instance keeps one row with a vector of weights;
+    tasks sum the vectors per class and score before the shuffle, and a range of scores is one group behind it.
+    A resample without a finite logit is left out of the deviation.
     """
     shared_dir(scores.sparkSession)
     scores = scores.select("doc_id", "label", "score", "predicted").checkpoint()
     counts = _score_counts(scores)
-    bucketed = _with_range(scores, counts, buckets)
-    replicated = bucketed.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
-    drawn = with_resample_weight(replicated, seed)
-    cells = drawn.groupBy("replicate", "bucket", "score").agg(*_class_counts(F.col("weight")))
+    spam = F.col("label") != HAM
+    wrong = F.when(spam, F.col("predicted") != SPAM).otherwise(F.col("predicted") != HAM)
+    drawn = _with_range(scores, counts, buckets).select(
+        "bucket", "score", spam.alias("spam"), wrong.alias("wrong"), draws("doc_id", resamples, seed).alias("draws")
+    )
+    ranges = _weighted_ranges(_weighted_cells(drawn, resamples), resamples)
     spread = (
-        _inversions(cells, ["replicate"])
+        _combined(ranges, ["replicate"])
         .select(logit(_area()).alias("x"), _lam().alias("lam"))
         .agg(F.stddev_samp("x").alias("sd_x"), F.stddev_samp("lam").alias("sd_lam"))
     )

