@@ -73,6 +73,27 @@ def learned_stems(texts: DataFrame) -> tuple[list[str], list[str]]:
     )
 
 
+def _starts_with(stems: list[str]) -> str:
+    """A pattern for any of the stems that reads a letter once, however many stems begin with it."""
+    tree: dict = {}
+    for stem in sorted(stems, key=len):
+        node = tree
+        for letter in stem:
+            if None in node:
+                break  # a shorter stem matches already
+            node = node.setdefault(letter, {})
+        else:
+            node[None] = {}
+
+    def written(node: dict) -> str:
+        if None in node:
+            return ""
+        ways = [letter + written(rest) for letter, rest in node.items()]
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    return written(tree)
+
+
 def features(
     documents: DataFrame, stems: tuple[list[str], list[str]], doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -83,7 +104,7 @@ def features(
     count = lambda column, pattern: F.regexp_count(column, F.lit(pattern)).cast("double")
     insult, person = _any_of(LEXICON), _any_of(SECOND_PERSON)
     # Digits and signs inside a word are read as the letters they look like; the rest of the text is not touched.
-    disguised = F.regexp_extract_all("low", F.lit(r"[\p{L}]+[0-9@$!]+[\p{L}][\p{L}0-9@$!]*"), F.lit(0))
+    disguised = F.regexp_extract_all("low", F.lit(r"(?<!\p{L})\p{L}++[0-9@$!]++\p{L}[\p{L}0-9@$!]*+"), F.lit(0))
     rows = rows.withColumn("disguised", F.translate(F.array_join(disguised, " "), *LOOKALIKES))
     rows = rows.withColumn("plain", count("low", insult)).withColumn("hidden", count("disguised", insult))
     gap = r"(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+){0,3}[^\p{L}\p{N}]+"
@@ -92,7 +113,7 @@ def features(
     ).otherwise(0.0)
     rows = rows.withColumn("hits", F.col("plain") + F.col("hidden")).withColumn("aimed", aimed)
     size = F.greatest(F.length("text"), F.lit(1)).cast("double")
-    marked = [count("low", rf"(?<!\p{{L}})(?:{'|'.join(tier)})") if tier else F.lit(0.0) for tier in stems]
+    marked = [count("low", rf"(?<!\p{{L}}){_starts_with(tier)}") if tier else F.lit(0.0) for tier in stems]
     rows = rows.withColumn("marked", marked[0]).withColumn("hinted", marked[1])
     values = {
         "stems": F.least(F.col("marked"), F.lit(50.0)),
