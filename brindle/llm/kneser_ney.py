@@ -18,6 +18,7 @@ of an unknown word.  Repeated rows count each.  A null id is in training.  Other
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -112,9 +113,11 @@ def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _write(folder: str, name: str, values: np.ndarray) -> None:
     path = os.path.join(folder, name)
-    with open(f"{path}.{os.getpid()}", "wb") as out:
+    # Attempts of a task on two machines must not share a name.
+    own = f"{path}.{uuid.uuid4().hex}"
+    with open(own, "wb") as out:
         values.tofile(out)
-    os.replace(f"{path}.{os.getpid()}", path)
+    os.replace(own, path)
 
 
 def _mapped(folder: str, name: str, kind) -> np.ndarray:
@@ -269,7 +272,9 @@ def train(documents: DataFrame, folder: str | None = None, doc_id: str = "doc_id
 
     def write_pairs(s: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         _write(folder, f"pairs-{s}", keys)
-        _write(folder, f"pair-counts-{s}", np.minimum(counts, 2**31 - 1).astype(np.int32))
+        if counts.max(initial=0) >= 1 << 31:
+            raise ValueError("a pair occurs 2 ** 31 times or more")
+        _write(folder, f"pair-counts-{s}", counts.astype(np.int32))
         # What the shard knows of each word: as the first of a pair, and as the second.
         first, second = keys // (size + 1), keys % (size + 1)
         word, at = np.unique(np.r_[first, second], return_inverse=True)
