@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 END = 0x110000
-#: Units a worker remembers, and characters that are indexed at once.
-REMEMBERED = 400_000
+#: Bytes of units and ids that a worker remembers, characters that are indexed at once.
+REMEMBERED = 160_000_000
 INDEXED = 600_000
+#: Segments with more characters than this are relaxed by a heap of edges, shorter ones in rounds over all of them.
+LONG = 256
 
 
 @dataclass(frozen=True)
@@ -76,6 +79,7 @@ class Encoder:
         self.places = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
         self.byte_ids = [i for i, kind in enumerate(model.kinds) if kind == "b"]
         self.known: dict[str, bytes] = {}
+        self.bytes = 0
 
     def suffixes(self, codes: np.ndarray) -> np.ndarray:
         """Positions in the order of the ``longest`` characters that follow them."""
@@ -138,6 +142,13 @@ class Encoder:
         segment = np.cumsum(crossed[:n] == 0)
         final = np.ones(n, dtype=bool)
         at, end = np.arange(n), np.arange(1, n + 1)
+        lengths = np.bincount(segment)
+        if (lengths > LONG).any():
+            for own in np.flatnonzero(lengths > LONG):
+                first, last = np.searchsorted(segment, [own, own + 1])
+                self._relax(int(first), int(last), keys, pieces, final)
+            short = lengths[segment] <= LONG
+            at, end = at[short], end[short]
         worst = np.int64(1) << 40
         while len(at) > 1:
             after = np.r_[end[1:], n]
@@ -158,6 +169,38 @@ class Encoder:
             at, end = at[alive], end[alive]
         return np.flatnonzero(final)
 
+    def _relax(self, first: int, last: int, keys: np.ndarray, pieces: np.ndarray, final: np.ndarray) -> None:
+        """As the rounds of ``merged`` for one segment, the best edge taken from a heap."""
+        width = self.longest + 1
+        low, high = np.searchsorted(keys, [first * width, last * width])
+        place = dict(zip(keys[low:high].tolist(), self.places[pieces[low:high]].tolist()))
+        n = last - first
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        gone = bytearray(n)
+        heap: list[tuple[int, int, int, int]] = []
+
+        def offer(left: int) -> None:
+            right = after[left]
+            if right < n and after[right] - left <= self.longest:
+                found = place.get((first + left) * width + after[right] - left)
+                if found is not None:
+                    heappush(heap, (found, left, right, after[right]))
+
+        for left in range(n):
+            offer(left)
+        while heap:
+            _, left, right, end = heappop(heap)
+            if gone[left] or gone[right] or after[left] != right or after[right] != end:
+                continue
+            gone[right] = 1
+            final[first + right] = False
+            after[left] = end
+            if end < n:
+                before[end] = left
+            offer(left)
+            if before[left] >= 0:
+                offer(before[left])
+
     def learn(self, units: list[str]) -> None:
         """Encode units and remember them."""
         joined = "".join(unit + "\0" for unit in units)
@@ -172,6 +215,7 @@ class Encoder:
         cuts = np.searchsorted(starts, np.r_[ends + 1 - sizes, len(codes)])
         blob = ids.astype("<i4").tobytes()
         self.known.update(zip(units, (blob[4 * first : 4 * last - 4] for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()))))
+        self.bytes += 200 * len(units) + len(joined) + len(blob)
         # A character that is no piece becomes its bytes; the mark behind a unit is none of its own.
         missing = ids < 0
         missing[cuts[1:] - 1] = False
@@ -186,8 +230,9 @@ class Encoder:
         """Ids per text as little-endian 32-bit integers."""
         cut = [UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
         wanted = set().union(*cut)
-        if len(self.known) > REMEMBERED:
+        if self.bytes > REMEMBERED:
             self.known.clear()
+            self.bytes = 0
         fresh, size = [], 0
         for unit in sorted(wanted - self.known.keys()):
             fresh.append(unit)
