@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import base64
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +14,11 @@ from brindle.llm._common import stored
 from brindle.session import work_path
 from brindle.sources.readers import parquet_table
 
-#: Files of public tokenizers; the folder is a parameter of the installation.
-TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
-PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 # Fixed value: how the byte-level vocabulary splits a text.
 BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +48,7 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     The last batch is committed twice, as a job that is run again would.
     """
     documents = parquet_table(spark, folder, "documents")
-    with open(f"{TOKENIZERS}/byte_bpe_50k.tiktoken", "rb") as file:
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
     pieces_state = stored(token_counts.tiktoken_counts(documents, ranks, BPE_PATTERN, "byte_bpe_50k"), "token-state")
     words_state = token_counts.word_counts(documents)

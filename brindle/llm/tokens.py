@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 END_ID = 2
 ROW_GROUP = 16 << 20
 PAGE_ROWS = 2_000
-#: Chunks a worker remembers, and characters that are encoded at once.
-REMEMBERED = 600_000
-AT_ONCE = 4_000_000
-#: White space that a cut at blanks would tear apart.
-UNEVEN = re.compile(r"\s | \s")
+#: Bytes of chunks and ids that a worker remembers, the longest chunk it remembers, characters that are encoded at once.
+REMEMBERED = 96_000_000
+LONGEST = 64
+AT_ONCE = 2_000_000
+#: A blank between two other characters, which the tokenizer's own splitting never crosses, and white space beside which there is none.
+CUT = re.compile(r"(?<=\S) (?=\S)")
+UNEVEN = re.compile(r"\s | \s|^ | $")
 
 
 class ChunkEncoder:
@@ -45,26 +47,33 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         # The library finds added tokens' strings before it splits; a text with one is not cut either.
         added = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([UNEVEN.pattern, *added]))
+        self.whole = re.compile("|".join(added) or "(?!)")
         self._forget()
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
         self.flat = array("I")
         self.starts = array("q", [0])
+        self.bytes = 0
 
     def _learn(self, chunks: list[str]) -> None:
         for chunk, encoding in zip(chunks, self.tokenizer.encode_batch(chunks, add_special_tokens=False)):
-            self.slots[chunk] = len(self.slots)
+            self.slots[chunk] = len(self.starts) - 1
             self.flat.extend(encoding.ids)
             self.starts.append(len(self.flat))
+            self.bytes += 180 + len(chunk) + 4 * len(encoding.ids)
+
+    def _cut(self, text: str) -> list[str]:
+        if self.whole.search(text):
+            return [text]
+        return CUT.split(text) if UNEVEN.search(text) else text.split(" ")
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each with the end id, and their numbers."""
-        if len(self.slots) > REMEMBERED:
+        if self.bytes > REMEMBERED:
             self._forget()
-        # A text with uneven white space or an added token is one chunk; otherwise every chunk but the first has its blank.
-        cut = [[t] if self.whole.search(t) else t.split(" ") for t in texts]
+        # A text with an added token is one chunk; otherwise every chunk but the first has its blank.
+        cut = [self._cut(t) for t in texts]
         sizes = np.array([len(c) for c in cut])
         first = np.zeros(int(sizes.sum()), dtype=bool)
         first[np.cumsum(sizes) - sizes] = True
@@ -72,7 +81,9 @@ class ChunkEncoder:
         named = pc.if_else(pa.array(first), flat, pc.binary_join_element_wise(pa.scalar("", pa.large_string()), flat, pa.scalar(" ", pa.large_string())))
         coded = named.dictionary_encode()
         chunks = coded.dictionary.to_pylist()
-        self._learn([c for c in chunks if c not in self.slots])
+        fresh = [c for c in chunks if c not in self.slots]
+        for at in range(0, len(fresh), 5_000):
+            self._learn(fresh[at : at + 5_000])
         slots = np.array([self.slots[c] for c in chunks], dtype=np.int64)[coded.indices.to_numpy()]
         starts = np.frombuffer(self.starts, dtype=np.int64)
         lengths = starts[slots + 1] - starts[slots]
@@ -80,10 +91,22 @@ class ChunkEncoder:
         ends = np.cumsum(lengths)
         shift = np.repeat(starts[slots] - (ends - lengths), lengths) + np.arange(int(ends[-1]))
         ids = np.frombuffer(self.flat, dtype=np.uint32)[shift]
+        # Long chunks, which may be whole texts, are not met again and only fill the memory.
+        if any(len(c) > LONGEST for c in fresh):
+            del starts
+            self._drop([c for c in fresh if len(c) > LONGEST])
         per_text = np.add.reduceat(lengths, np.cumsum(sizes) - sizes)
         return np.insert(ids, np.cumsum(per_text), end_id), per_text + 1
 
 
+    def _drop(self, chunks: list[str]) -> None:
+        """Forget some chunks; the places of their ids count on until the worker forgets everything."""
+        for chunk in chunks:
+            del self.slots[chunk]
+        if self.bytes > REMEMBERED:
+            self._forget()
+
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
