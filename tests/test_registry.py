@@ -42,11 +42,15 @@ def test_every_query_has_sql():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+#: Sequential passes in shards and sums of weight vectors have no built-in form.
+WITH_PYTHON = {"spam_train_mixed", "roc_bootstrap"}
+
+
 @pytest.mark.parametrize("name", sorted(n for n in registry.QUERIES if not n.startswith("stream_")))
 def test_plans_have_no_cross_join_and_no_needless_python(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER), "simple")
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
-    assert "Python" not in text and "InPandas" not in text
+    assert name in WITH_PYTHON or ("Python" not in text and "InPandas" not in text)
 
 
 def test_entry(spark):
