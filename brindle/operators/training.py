@@ -161,7 +161,8 @@ def train_mixed(instances: DataFrame, shards: int = SHARDS, seed: int = 0, delta
         position.alias("position"),
         "doc_id",
     )
-    sizes = rows.groupBy("model_id", "shard").agg(F.count("*").alias("n"))
+    # A row per model and shard, read twice.
+    sizes = written(rows.groupBy("model_id", "shard").agg(F.count("*").alias("n")), "shard-sizes")
     totals = sizes.groupBy("model_id").agg(F.sum("n").alias("total"))
     ordered = rows.repartition("model_id", "shard").sortWithinPartitions("model_id", "shard", "position", "doc_id", "target")
     trained = ordered.select("model_id", "shard", "target", "features").mapInPandas(
