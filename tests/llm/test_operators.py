@@ -77,17 +77,6 @@ def test_secrets(documents, empty):
     assert secrets.scan(empty).count() == 0
 
 
-def test_battery_tells_random_from_text(spark):
-    random = [hashlib.sha512(str(i).encode()).hexdigest()[:40] for i in range(50)]
-    plain = ["getUserAccountDetailsByName2" + "e" * (i % 5) for i in range(50)]
-    table = spark.createDataFrame([(t, t in random) for t in random + plain], "token string, random boolean")
-    tests = secrets.with_bins(secrets.battery(table))
-    by = {r.random: r for r in tests.groupBy("random").agg({"text_z": "avg", "chi_z": "avg"}).collect()}
-    assert by[True]["avg(text_z)"] > 2 > by[False]["avg(text_z)"]
-    assert abs(by[True]["avg(chi_z)"]) < 1
-    assert set(r.encoding for r in tests.collect()) == {"hex", "base64"}
-
-
 def brute_components(sets):
     parent = {i: i for i in sets}
 
