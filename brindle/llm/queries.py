@@ -43,9 +43,10 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals after three batches: all documents by one tokenizer, by another, and without exact copies of the first.
+    """Totals after four batches: all documents by one tokenizer, by another, without exact copies of the first, and revised.
 
-    The last batch is committed twice, as a job that is run again would.
+    The revision counts the words of all documents anew, now cut at every character that is no ASCII letter or digit.
+    The last two batches are committed twice, as a job that is run again would.
     """
     documents = parquet_table(spark, folder, "documents")
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
@@ -54,11 +55,13 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     words_state = token_counts.word_counts(documents)
     ledger = work_path(spark, "token-ledger")
     copies = token_counts.deletes(token_counts.repeated(documents, pieces_state))
+    revision = token_counts.changes(words_state, token_counts.word_counts(documents, separator="[^A-Za-z0-9]+"))
     token_counts.commit(token_counts.inserts(pieces_state), ledger, "1")
     token_counts.commit(token_counts.inserts(words_state), ledger, "2")
     for _ in range(2):
         token_counts.commit(copies, ledger, "3")
-    return token_counts.totals(spark, ledger, ["1", "2", "3"])
+        token_counts.commit(revision, ledger, "4")
+    return token_counts.totals(spark, ledger, ["1", "2", "3", "4"])
 
 
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,18 +21,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brindle.llm._common import text_of, words
+from brindle.llm._common import SPACE, text_of, words
 
 KEYS = ("source", "lang", "version")
 MEASURES = ("n_docs", "n_tokens")
 SCHEMA = "source string, lang string, version string, n_docs bigint, n_tokens bigint"
 
 
-def word_counts(documents: DataFrame, version: str = "words-1") -> DataFrame:
-    """(doc_id, source, lang, version, n_tokens) by white space."""
-    return documents.select(
-        "doc_id", "source", "lang", F.lit(version).alias("version"), F.size(words(text_of("text"))).cast("long").alias("n_tokens")
-    )
+def word_counts(documents: DataFrame, version: str = "words-1", separator: str = SPACE) -> DataFrame:
+    """(doc_id, source, lang, version, n_tokens) by a pattern of what separates words, white space at first."""
+    counts = F.size(words(text_of("text"), separator)).cast("long")
+    return documents.select("doc_id", "source", "lang", F.lit(version).alias("version"), counts.alias("n_tokens"))
 
 
 def tiktoken_counts(documents: DataFrame, ranks: dict[bytes, int], pattern: str, version: str) -> DataFrame:
