@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from brindle.llm._common import stored
 
-#: Lists up to this length are compared member by member, at once; longer ones in rounds of LEADERS members.
+#: Lists up to this length are compared member by member, at once; longer ones in rounds, in which LEADERS members
+#: at first and then twice as many meet all others.  Lists are met in parts of about PART members.
 SHORT = 64
 LEADERS = 64
+PART = 4096
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -80,11 +82,15 @@ def linked(
     entries: DataFrame,
     confirmed: Callable[[DataFrame], DataFrame],
     near: Callable[[str, str], F.Column] | None = None,
+    sketches: DataFrame | None = None,
+    likely: Callable[[F.Column, F.Column], F.Column] | None = None,
 ) -> DataFrame:
     """(id, component) of every id that is linked with another one.
 
     ``entries`` are (key, id, size); ids with a common key are candidates if their sizes fit (``near``, on the
     size columns ``a_size`` and ``b_size``).  ``confirmed`` keeps of the pairs (a, b) those truly linked.
+    ``sketches`` (id and more columns) travel with the members of long lists, so that ``likely``, on two structs of
+    the size and these columns, drops a pair where it meets; it must not drop a pair that is linked.
     """
     fits = near("a_size", "b_size") if near else F.lit(True)
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -121,38 +127,56 @@ def linked(
     edges = edges.unionByName(stored(confirmed(pairs), "links"))
     labels = components(edges)
     # At last long lists: members outside the largest component against all others, some at a time.
-    rest = stored(left.where(F.col("n") > SHORT).select("key", "id", "size", "weight", F.lit(False).alias("done")), "lists")
+    rest = left.where(F.col("n") > SHORT).select("key", "id", "size", "weight", F.lit(False).alias("done"))
+    # Two ids mostly share many lists; a pair is compared in the first one only, which costs an array per member.
+    shared_lists = rest.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    carried = shared_lists if sketches is None else shared_lists.join(sketches, "id")
+    rest = stored(rest.join(carried, "id"), "lists")
+    extra = [c for c in carried.columns if c != "id"]
+    likely_pair = likely(F.struct(*[F.col(f"a_{c}").alias(c) for c in ["size", *extra]]), F.struct("size", *extra)) if likely else F.lit(True)
+    n_leaders = LEADERS
     while True:
         named = _labelled(rest, labels)
         sizes = named.groupBy("key", "component").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("key").agg(
-            F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("n_components")
-        ).where("n_components > 1").select("key", F.col("top.component").alias("top"))
+            F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("n_components"), F.sum("n").alias("n")
+        ).where("n_components > 1").select("key", F.col("top.component").alias("top"), F.ceil(F.col("n") / PART).alias("n_parts"))
         named = stored(named.join(largest, "key"), "lists")
         rank = F.row_number().over(W.partitionBy("key").orderBy(F.desc("weight"), "id"))
-        leaders = stored(
+        leading = stored(
             named.where("not done and component <> top")
+            .select("key", "id", "weight").distinct()
             .withColumn("rank", rank)
-            .where(F.col("rank") <= LEADERS)
-            .select("key", F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_component")),
+            .where(F.col("rank") <= n_leaders)
+            .select("key", "id", F.lit(True).alias("used")),
             "leaders",
         )
-        if not leaders.head(1):
+        if not leading.head(1):
             return labels
+        # A long list is met in parts, each with its own copy of the leaders.
+        leaders = named.join(leading, ["key", "id"]).select(
+            "key",
+            F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)).alias("part"),
+            *[F.col(c).alias(f"a_{c}") for c in ["id", "size", "component", *extra]],
+        )
+        # Those that have led before have met every member already.
+        members = named.where("not done").withColumn("part", F.pmod(F.xxhash64("id"), F.col("n_parts")))
+        first_met = F.get(F.array_intersect("a_keys", "keys"), F.lit(0)) == F.col("key")
         pairs = (
-            leaders.join(named, "key")
-            .where("a_component <> component and a <> id")
-            .withColumn("b_size", F.col("size"))
-            .where(fits)
-            .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+            leaders.join(members.withColumn("b_size", F.col("size")), ["key", "part"])
+            .where((F.col("a_component") != F.col("component")) & (F.col("a_id") != F.col("id")))
+            .where(fits & first_met & likely_pair)
+            .select(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b"))
             .distinct()
         )
         more = stored(confirmed(pairs), "links")
         if more.head(1):
             edges = edges.unionByName(more)
             labels = components(edges)
-        used = leaders.select("key", F.col("a").alias("id"), F.lit(True).alias("used"))
         rest = stored(
-            named.join(used, ["key", "id"], "left").select("key", "id", "size", "weight", (F.col("done") | F.coalesce("used", F.lit(False))).alias("done")),
+            named.join(leading, ["key", "id"], "left").select(
+                "key", "id", "size", "weight", (F.col("done") | F.coalesce("used", F.lit(False))).alias("done"), *extra
+            ),
             "lists",
         )
+        n_leaders *= 2
