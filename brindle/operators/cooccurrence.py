@@ -1,8 +1,8 @@
 """Word co-occurrence: counts, bigram relative frequency, pointwise mutual information.
 
-All operators take ``lines`` with a ``tokens`` array per line.  Cells (w1, w2) are counted with
+All operators take ``lines`` with a ``tokens`` array per line.  Bigram cells (w1, w2) are counted with
 map-side partial aggregation and shuffled by both words, so a frequent word never gathers its cells
-in one task.  Rows per word (marginals, line counts) are joined back with plain equi joins: small
+in one task.  Pairs of words of a line are far more; they are made after the shuffle (``frequent_pair_counts``).  Rows per word (marginals, line counts) are joined back with plain equi joins: small
 tables are broadcast by their measured size, large ones are sort-merge joined, where adaptive
 execution splits the partitions of hot words.
 """
@@ -22,6 +22,12 @@ MARGINAL = "*"
 # A stripe with more cells than this is emitted as several blocks, so no row outgrows a task.
 STRIPE_CELLS = 100_000
 
+# Words that get a number of two bytes, at every size; all others stay text.
+NUMBERED_WORDS = 32_767
+
+# Pairs that one task counts, on average.
+TASK_PAIRS = 4_000_000
+
 
 def tokenized(lines: DataFrame, line: str = "line") -> DataFrame:
     """Replace the line by its tokens."""
@@ -112,20 +118,57 @@ def _count_pairs(lines: DataFrame) -> DataFrame:
 
 
 def frequent_pair_counts(
-    lines: DataFrame, threshold: int, line_key: list[str], limit: int = WORD_LIMIT
+    lines: DataFrame, threshold: int, line_key: list[str], limit: int = WORD_LIMIT, numbered: int = NUMBERED_WORDS
 ) -> DataFrame:
-    """``pair_counts`` with n >= threshold, from words that can still reach it.
+    """``pair_counts`` with n >= threshold, in either order, from words that can still reach it.
 
     n(w1,w2) is at most the smaller of the two line counts, so a word on fewer lines than the
     threshold takes part in no kept pair.  Dropping it before pairing is exact and keeps the long tail
-    of rare words out of the pair shuffle.  A line has at most ``limit`` words, which bounds the
-    regrouped arrays.
+    of rare words out of the pair shuffle.
+
+    What is shuffled is a list per word and line, not the pairs: each word travels with the words of its line that
+    stand before it, which makes pairs after the shuffle only.  The ``numbered`` most frequent words are numbers by
+    falling frequency and stand before all others, so a word brings the more frequent ones along and is the rarer
+    one of its pairs; no list of a frequent word is long.  A line has at most ``limit`` words, which bounds the lists.
     """
+    counts = written(word_line_counts(lines, limit), "word-counts").where(F.col("n") >= threshold)
+    first = counts.orderBy(F.desc("n"), "word").limit(numbered).agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("order"), "word"))).alias("words"))
+    numbers = first.select(F.posexplode("words.word").alias("number", "word"))
+    numbers = written(numbers.select(F.col("number").cast("smallint").alias("number"), "word"), "numbers")
     words = lines.select(*line_key, F.explode(line_words("tokens", limit)).alias("word"))
-    frequent = word_line_counts(lines, limit).where(F.col("n") >= threshold).select("word")
-    kept = words.join(frequent, "word", "left_semi")
-    regrouped = kept.groupBy(*line_key).agg(F.collect_list("word").alias("words"))
-    return _count_pairs(regrouped).where(F.col("n") >= threshold)
+    few = words.join(F.broadcast(numbers), "word").select(*line_key, "number", F.lit(None).cast("string").alias("word"))
+    rest = words.join(F.broadcast(numbers), "word", "left_anti").join(counts, "word", "left_semi")
+    regrouped = few.unionByName(rest.select(*line_key, F.lit(None).cast("smallint").alias("number"), "word"))
+    grouped = written(
+        regrouped.groupBy(*line_key)
+        .agg(F.sort_array(F.collect_list("number")).alias("numbers"), F.sort_array(F.collect_list("word")).alias("words"))
+        .select("numbers", "words"),
+        "line-lists",
+    )
+    size, more = F.size("numbers").cast("bigint"), F.size("words").cast("bigint")
+    pairs = grouped.agg(F.sum(size * (size - 1) / 2), F.sum(more * (more - 1) / 2 + size * more)).first()
+    least = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = [max(least, int((n or 0) // TASK_PAIRS) + 1) for n in pairs]
+
+    lists = grouped.select("numbers", F.posexplode("numbers").alias("at", "n1")).where("at > 0")
+    lists = lists.select("n1", F.slice("numbers", F.lit(1), F.col("at")).alias("before")).repartition(tasks[0], "n1")
+    both = _often(lists.select("n1", F.explode("before").alias("n2")), threshold, "n1", "n2")
+
+    lists = grouped.select("numbers", "words", F.posexplode("words").alias("at", "w1")).where((F.col("at") > 0) | (F.size("numbers") > 0))
+    lists = lists.select("w1", "numbers", F.slice("words", F.lit(1), F.col("at")).alias("before")).repartition(tasks[1], "w1")
+    entries = F.concat(
+        F.transform("numbers", lambda n: F.struct(n.alias("n2"), F.lit(None).cast("string").alias("w2"))),
+        F.transform("before", lambda w: F.struct(F.lit(None).cast("smallint").alias("n2"), w.alias("w2"))),
+    )
+    mixed = _often(lists.select("w1", F.inline(entries)), threshold, "w1", "n2", "w2")
+
+    one, two = (F.broadcast(numbers.select(F.col("number").alias(f"n{i}"), F.col("word").alias(f"named{i}"))) for i in (1, 2))
+    named = both.join(one, "n1").join(two, "n2").select(F.col("named1").alias("w1"), F.col("named2").alias("w2"), "n")
+    return named.unionByName(mixed.join(two, "n2", "left").select("w1", F.coalesce("w2", "named2").alias("w2"), "n"))
+
+
+def _often(pairs: DataFrame, threshold: int, *key: str) -> DataFrame:
+    return pairs.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") >= threshold)
 
 
 def _pmi(pairs: DataFrame, lines: DataFrame, limit: int) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -112,6 +112,22 @@ def test_pmi_pairs(lines, corpus, threshold):
     assert all(found[k][1] == expected[k][1] and math.isclose(found[k][0], expected[k][0], abs_tol=1e-12) for k in expected)
 
 
+@pytest.mark.parametrize("threshold, numbered", [(1, 1), (10, 5), (10, 32_767)])
+def test_pairs_are_made_behind_the_shuffle(lines, corpus, threshold, numbered):
+    """No pair is shuffled to be counted: words travel with the words before them."""
+    counted = co.frequent_pair_counts(lines, threshold, ["line_no"], numbered=numbered)
+    assert not re.search(r"hashpartitioning\((w1|n1)#\d+L?, \w+#", plan(counted, "simple"))
+    expected = {k: n for k, (_, n) in brute_pmi(corpus, threshold).items() if k[0] < k[1]}
+    found = counted.collect()
+    assert {tuple(sorted((r.w1, r.w2))): r.n for r in found} == expected and len(found) == len(expected)
+
+
+def test_lines_of_one_key_are_one_line(spark):
+    frame = spark.createDataFrame([(None, ["a", "b"]), (None, ["b", "c"]), (1, ["a", "c"])], "line_no int, tokens array<string>")
+    found = co.frequent_pair_counts(frame, 1, ["line_no"], numbered=2).collect()
+    assert sorted((*sorted((r.w1, r.w2)), r.n) for r in found) == [("a", "b", 2), ("a", "c", 2), ("b", "b", 1), ("b", "c", 2)]
+
+
 @pytest.mark.parametrize("max_cells", [100_000, 7])
 def test_stripes_are_the_pairs_regrouped(lines, max_cells):
     pairs = co.pmi_pairs(lines, ["line_no"], 10)
