@@ -216,3 +216,22 @@ def test_text_forms(spark, instances, model, tmp_path):
     assert rows(readers.ensemble_model_text(spark, paths)) == rows(model)
     (tmp_path / "tiny").write_text("(12,-1.5E-5)\n")
     assert rows(readers.model_text(spark, str(tmp_path / "tiny"))) == [("model", 12, -1.5e-5)]
+
+
+def test_scores_hold_the_model_only(spark, instances, model):
+    """The features of the instances pass by unsorted; a sort of them grows with the instances."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = classify.apply_model(instances, model, "m0")
+        assert "SortMergeJoin" not in plan(scored, "simple") and "ShuffledHashJoin" in plan(scored, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_features_are_counted_inside_their_row(spark):
+    schema = "doc_id int, features array<int>"
+    frame = spark.createDataFrame([(1, [5, 3, 5, None, 5]), (2, []), (3, None), (4, [None]), (1, [3])], schema)
+    counted = classify.with_cells(frame, "doc_id")
+    assert sorted(tuple(r) for r in counted.collect()) == [(1, [3], [1]), (1, [3, 5], [1, 3]), (2, [], []), (3, [], []), (4, [], [])]
+    assert "Exchange" not in plan(counted, "simple")
