@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.numeric import sigmoid
-from brindle.operators.classify import SPAM
+from brindle.operators.classify import SPAM, with_cells
 from brindle.session import shared_dir, written
 
 # The learning rate.
@@ -54,38 +54,41 @@ def in_random_order(rows: DataFrame, key: str, seed: int) -> DataFrame:
     return rows.withColumn("position", random_position(key, seed)).orderBy("position", key)
 
 
-def _cells(instances: DataFrame, *more: Column) -> DataFrame:
-    """(model_id, doc_id, target, ..., feature, n): occurrences of the features that are not null."""
-    rows = instances.select(
-        "model_id", "doc_id", (F.col("label") == SPAM).cast("double").alias("target"), *more, F.explode("features").alias("feature")
-    ).where("feature is not null")
-    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+def _counted(instances: DataFrame, *more: Column) -> DataFrame:
+    """(model_id, doc_id, target, ..., feature, n): a row per instance, with its features and how often each occurs."""
+    rows = instances.select("model_id", "doc_id", (F.col("label") == SPAM).cast("double").alias("target"), *more, "features")
+    return with_cells(rows, *rows.columns[:-1])
+
 
+def _steps(rows: DataFrame, weights: DataFrame | None, delta: float) -> DataFrame:
+    """(model_id, feature, weight): what the instances of ``rows`` add to the weights.
 
-def _steps(cells: DataFrame, weights: DataFrame | None, delta: float) -> DataFrame:
-    """(model_id, feature, weight): what the instances of ``cells`` add to the weights."""
+    Scores come back to instances, not to their features, and both joins hold the smaller side only, unsorted.
+    """
+    cells = F.inline(F.arrays_zip("feature", "n"))
     if weights is None:
-        scored, score = cells, F.lit(0.0)
+        scored, score = rows, F.lit(0.0)
     else:
         scores = (
-            cells.join(weights, ["model_id", "feature"], "left")
+            rows.select("model_id", "doc_id", cells)
+            .join(weights.hint("shuffle_hash"), ["model_id", "feature"], "left")
             .groupBy("model_id", "doc_id")
             .agg(F.sum(F.coalesce("weight", F.lit(0.0)) * F.col("n")).alias("score"))
         )
-        scored, score = cells.join(scores, ["model_id", "doc_id"]), F.col("score")
-    change = (F.col("target") - sigmoid(score)) * F.col("n") * delta
-    return scored.groupBy("model_id", "feature").agg(F.sum(change).alias("weight"))
+        scored, score = rows.join(scores.hint("shuffle_hash"), ["model_id", "doc_id"]), F.col("score")
+    errors = scored.select("model_id", (F.col("target") - sigmoid(score)).alias("error"), cells)
+    return errors.groupBy("model_id", "feature").agg(F.sum(F.col("error") * F.col("n") * delta).alias("weight"))
 
 
 def _trained(parts: Iterable[DataFrame], delta: float) -> DataFrame:
     """Weights after one step per part.  They are checkpointed in between, so each plan holds one step."""
     weights = None
-    for cells in parts:
+    for rows in parts:
         if weights is None:
-            weights = _steps(cells, None, delta)
+            weights = _steps(rows, None, delta)
             continue
         weights = weights.checkpoint()
-        both = weights.unionByName(_steps(cells, weights, delta))
+        both = weights.unionByName(_steps(rows, weights, delta))
         weights = both.groupBy("model_id", "feature").agg(F.sum("weight").alias("weight"))
     return weights
 
@@ -97,15 +100,15 @@ def train_minibatch(instances: DataFrame, seed: int = 0, batches: int = BATCHES,
     """
     shared_dir(instances.sparkSession)
     part = F.coalesce(F.pmod(random_position("doc_id", seed), F.lit(batches)), F.lit(0)).cast("int").alias("part")
-    cells = written(_cells(instances, part), "cells", "part")
-    return _trained((cells.where(F.col("part") == number) for number in range(batches)), delta)
+    rows = written(_counted(instances, part), "counted", "part")
+    return _trained((rows.where(F.col("part") == number) for number in range(batches)), delta)
 
 
 def train_batch(instances: DataFrame, epochs: int = 1, delta: float = DELTA, model_id: str = "model") -> DataFrame:
     """(model_id, feature, weight) after full-batch steps from zero weights over (doc_id, label, features)."""
     shared_dir(instances.sparkSession)
-    cells = written(_cells(instances.withColumn("model_id", F.lit(model_id))), "cells")
-    return _trained((cells for _ in range(epochs)), delta)
+    rows = written(_counted(instances.withColumn("model_id", F.lit(model_id))), "counted")
+    return _trained((rows for _ in range(epochs)), delta)
 
 
 def _pass_over(rows: Iterable[tuple[int, Iterable[int]]], delta: float, max_rows: int) -> dict[int, float]:

@@ -235,3 +235,10 @@ def test_features_are_counted_inside_their_row(spark):
     counted = classify.with_cells(frame, "doc_id")
     assert sorted(tuple(r) for r in counted.collect()) == [(1, [3], [1]), (1, [3, 5], [1, 3]), (2, [], []), (3, [], []), (4, [], [])]
     assert "Exchange" not in plan(counted, "simple")
+
+
+def test_training_keeps_a_row_per_instance(spark):
+    rows_in = [("a", 1, "spam", [1, 1, 2]), ("a", 1, "spam", [2]), ("a", 2, "ham", [])]
+    frame = spark.createDataFrame(rows_in, "model_id string, doc_id int, label string, features array<int>")
+    counted = training._counted(frame)
+    assert counted.count() == 3 and "Exchange" not in plan(counted, "simple")
