@@ -147,3 +147,17 @@ def test_a_cut_off_run_goes_on_by_itself(spark, monkeypatch):
     assert len(saved) == 6 and pr.iteration_log(spark, base).count() == 5
     with pytest.raises(ValueError, match="alpha"):
         pr.run_logged(graph, 6, base, alpha=0.2)
+
+
+def test_a_step_sorts_neither_edges_nor_nodes(spark):
+    """At sizes where nothing is broadcast, a step builds hash tables of the ranks and sums."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nodes = spark.range(6)
+        edges = spark.createDataFrame([(0, 1), (1, 2), (2, 0), (3, 0)], "src bigint, dst bigint")
+        graph = pr.materialize(pr.build_graph(nodes, edges, [0]))
+        text = plan(pr.step(graph, pr.initial_ranks(graph)), "simple")
+        assert "SortMergeJoin" not in text and text.count("ShuffledHashJoin") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
