@@ -54,3 +54,29 @@ def test_long_unbroken_texts_equal_the_library():
     texts = ["x" * 200_000, "ab" * 5_000, "".join(rng.choices("etaoinshrdlu", k=20_000)), "=" * 3_000 + " a " + "the" * 900, "é日𝄞" * 400]
     for text, blob in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(blob, dtype="<i4").tolist() == library.encode(text)
+
+
+def test_fresh_chunks_share_an_encoding():
+    import public_tokenizers
+
+    encoder = tokens.ChunkEncoder(open(public_tokenizers.path("byte_bpe_50k.json")).read())
+    asked = []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+        encode_batch = encode_batch_fast
+
+    library = encoder.tokenizer
+    encoder.tokenizer = Counting(library)
+    texts = [" ".join(f"w{i}'s,{i * j}é" for j in range(50)) for i in range(20)] + ["a  b\n c", "\nend  x", ""]
+    ids, lengths = encoder.encode(texts, 2)
+    expected = [e.ids + [2] for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert lengths.tolist() == [len(e) for e in expected]
+    assert ids.tolist() == [i for e in expected for i in e]
+    assert len(asked) < 50
