@@ -46,9 +46,9 @@ EXACT = (
 )
 #: Sequences of a container and of a task's containers, words that a task numbers, bytes of text counted at once.
 BURST = 1 << 15
-HELD = 1 << 21
-NUMBERED = 1 << 19
-AT_ONCE = 4_000_000
+HELD = 1 << 20
+NUMBERED = 1 << 18
+AT_ONCE = 1_000_000
 
 BITS = 21
 MASK = (1 << BITS) - 1
@@ -340,7 +340,8 @@ def frequent_sequences(runs: DataFrame, least: int = LEAST) -> DataFrame:
     rows = runs.select("part", "lang", "words", "keys", "n_sequences")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        # Row by row: a batch may hold all of a task's runs, which are taken out as they are needed.
+        listed = (tuple(c[i].as_py() for c in batch.columns) for batch in batches for i in range(batch.num_rows))
         for (_, lang), group in groupby(listed, key=lambda row: row[:2]):
             phrases, sizes, counts = _merged([row[2:] for row in group], least)
             texts = pa.array(phrases, pa.binary()).cast(pa.string())

@@ -289,3 +289,25 @@ def test_scores_are_exact_beyond_64_bits(spark):
     exact = spark.createDataFrame([(3_000_000_000, 3_000_000_001, 4_000_000_000)], "a bigint, l bigint, r bigint")
     row = exact.selectExpr(f"{phrases.EXACT} as score").first()
     assert row.score == 10**6 * 3_000_000_000**2 // (3_000_000_001 * 4_000_000_000)
+
+
+def test_counting_phrases_holds_few_words_and_sequences():
+    import random
+    import tracemalloc
+
+    from brindle.llm import phrases
+
+    draw = random.Random(3)
+    texts = [" ".join(f"w{draw.randrange(1_000_000)}" for _ in range(5_000)).encode() for _ in range(120)]
+    counter, n, words = phrases.Counter(4), 0, 0
+    tracemalloc.start()
+    for at in range(0, len(texts), 20):
+        for run in counter.count("en", texts[at : at + 20]):
+            n, words = n + run[4], words + run[5]
+    for run in counter.spill(0):
+        n, words = n + run[4], words + run[5]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert words == 600_000
+    assert n >= 2 * 600_000
+    assert peak < 280_000_000
