@@ -184,13 +184,20 @@ def contamination(
     chosen = stored(anchors(runs, postings), "anchors")
     placed = stored(candidates(postings, chosen), "candidates").join(runs, "window")
     by_key = placed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "words", "items"))).alias("places"))
-    exact = F.filter(
-        "places", lambda p: F.slice("words", p["start"] + 1, F.size(p["words"])) == p["words"]
+    # Words that are used once would be evaluated inside the filter, for every place again.
+    exact = F.when(
+        F.size("words") > 0,
+        F.filter("places", lambda p: F.slice("words", p["start"] + 1, F.size(p["words"])) == p["words"]),
     )
-    # The text is shuffled, not its words, which take more room.
+    # Only the text of rows with a candidate travels to the places, and not its words, which take more room.  The rows
+    # learn that from a list of keys; one that is too long for a broadcast leaves them where the places come to as well.
+    met = stored(placed.select("key").distinct(), "met").withColumn("met", F.lit(True))
     texts = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text"))
-    split = texts.join(by_key, "key", "left").select("doc_id", "key", tokens(text_of("text")).alias("words"), "places")
-    joined = split.select("doc_id", "key", F.size("words").alias("n_words"), exact.alias("places"))
+    counted = texts.join(met, "key", "left").select(
+        "doc_id", "key", F.size(tokens(text_of("text"))).alias("n_words"), F.when(F.col("met"), F.col("text")).alias("text")
+    )
+    split = counted.join(by_key, "key", "left").select("doc_id", "key", "n_words", tokens(text_of("text")).alias("words"), "places")
+    joined = split.select("doc_id", "key", "n_words", exact.alias("places"))
     spans = F.transform("places", lambda p: F.struct(p["start"].alias("start"), (p["start"] + F.size(p["words"])).alias("end")))
     covered = F.aggregate(
         spans,

@@ -311,3 +311,19 @@ def test_counting_phrases_holds_few_words_and_sequences():
     assert words == 600_000
     assert n >= 2 * 600_000
     assert peak < 280_000_000
+
+
+def test_only_texts_with_candidates_travel(spark):
+    from brindle.llm import decontaminate
+
+    item = " ".join(f"w{i}" for i in range(20))
+    texts = [f"x {item} y", item[:30], "a b c " * 500, "", None, f"{item} {item}", f"x {item} y"]
+    documents = spark.createDataFrame([(i % 6, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([("i", item), ("j", "b c a")], "item_id string, text string")
+    found = decontaminate.contamination(documents, benchmark)
+    got = sorted((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found.collect())
+    assert got == [
+        (0, 22, 20, ["i"]), (0, 22, 20, ["i"]), (1, 10, 0, []), (2, 1500, 1497, ["j"]), (3, 0, 0, []), (4, 0, 0, []), (5, 40, 40, ["i"]),
+    ]
+    # What meets the places is the text of rows with a candidate, null for the others.
+    assert "THEN text" in found._jdf.queryExecution().optimizedPlan().toString()
